@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from .classifier import op9_quality_classifier
+from .language import op2_language_id
+from .licenses import op7_license_scan
 from .quality import OP5_SQL, op5_quality_rules
 
 QUERIES = {
+    "op2_language_id": op2_language_id,
     "op5_quality_rules": op5_quality_rules,
+    "op7_license_scan": op7_license_scan,
+    "op9_quality_classifier": op9_quality_classifier,
 }
 ORACLE_SQL = {
     "op5_quality_rules": OP5_SQL,
