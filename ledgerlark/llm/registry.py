@@ -5,11 +5,13 @@ from __future__ import annotations
 from .classifier import op9_quality_classifier
 from .language import op2_language_id
 from .licenses import op7_license_scan
+from .near_duplicates import op6_near_duplicates
 from .quality import OP5_SQL, op5_quality_rules
 
 QUERIES = {
     "op2_language_id": op2_language_id,
     "op5_quality_rules": op5_quality_rules,
+    "op6_near_duplicates": op6_near_duplicates,
     "op7_license_scan": op7_license_scan,
     "op9_quality_classifier": op9_quality_classifier,
 }
