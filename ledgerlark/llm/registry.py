@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .classifier import op9_quality_classifier
+from .decontaminate import OP3_SQL, op3_decontamination
 from .language import op2_language_id
 from .licenses import op7_license_scan
 from .near_duplicates import op6_near_duplicates
@@ -10,11 +11,13 @@ from .quality import OP5_SQL, op5_quality_rules
 
 QUERIES = {
     "op2_language_id": op2_language_id,
+    "op3_decontamination": op3_decontamination,
     "op5_quality_rules": op5_quality_rules,
     "op6_near_duplicates": op6_near_duplicates,
     "op7_license_scan": op7_license_scan,
     "op9_quality_classifier": op9_quality_classifier,
 }
 ORACLE_SQL = {
+    "op3_decontamination": OP3_SQL,
     "op5_quality_rules": OP5_SQL,
 }
