@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .bpe import op4_bpe
 from .classifier import op9_quality_classifier
 from .decontaminate import OP3_SQL, op3_decontamination
 from .language import op2_language_id
@@ -15,6 +16,7 @@ QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_language_id": op2_language_id,
     "op3_decontamination": op3_decontamination,
+    "op4_bpe": op4_bpe,
     "op5_quality_rules": op5_quality_rules,
     "op6_near_duplicates": op6_near_duplicates,
     "op7_license_scan": op7_license_scan,
