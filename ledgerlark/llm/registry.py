@@ -7,6 +7,7 @@ from .classifier import op9_quality_classifier
 from .decontaminate import OP3_SQL, op3_decontamination
 from .language import op2_language_id
 from .licenses import op7_license_scan
+from .lm import op10_lm_score
 from .near_duplicates import op6_near_duplicates
 from .pii import OP8_SQL, op8_pii
 from .quality import OP5_SQL, op5_quality_rules
@@ -22,6 +23,7 @@ QUERIES = {
     "op7_license_scan": op7_license_scan,
     "op8_pii": op8_pii,
     "op9_quality_classifier": op9_quality_classifier,
+    "op10_lm_score": op10_lm_score,
 }
 ORACLE_SQL = {
     "op1_url_filter": OP1_SQL,
