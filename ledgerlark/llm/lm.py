@@ -1,11 +1,12 @@
 """Language-model scoring with an Elias-Fano n-gram trie (operator 10).
 
 Level one holds every training token: its 64-bit hash in Elias-Fano code, its rank there as its id, and
-its count.  Level two holds, for each context token, its successors' ids: monotone pointers to each
-context's range, and the ids made monotone across contexts (context times vocabulary plus id), both in
+its count.  A table of back-off weights by context goes with it.  Level two holds, for each context token, its
+successors' ids: monotone pointers to each context's range, and the ids made monotone across contexts (context times vocabulary plus id), both in
 Elias-Fano code, with smoothed probabilities and back-off weights quantised to 8 bits.  Levels are
 sharded files in the shared folder, memory-mapped by the scoring workers.  A bigram is looked up by its
-context's pointers, then by successor search relative to that context.
+context's pointers, then by successor search relative to that context.  Shards are cut by (context,
+word), so a very common context spreads over several.
 
 Smoothing is absolute discounting: p(w|c) = max(n - d, 0) / n(c) + bow(c) p(w), and p(w) = (n + 0.5) /
 (N + 0.5 (V + 1)), in which an unknown word has n = 0.  Pairs seen fewer than `least` times are left to
@@ -18,7 +19,6 @@ p = 1 (one unknown word); repeated rows give equal rows.
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,9 +27,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fold, materialise, new_path, table
+from .common import fold, materialise, table
 from .eliasfano import EliasFano, ef_build
-from .sharedtable import SharedTable, build, open_arrays, write_arrays
+from .sharedtable import SharedTable, build, open_arrays
 from .textbytes import SPACE, Spans, U, buffers, hash_word, mix, slices
 
 END = hash_word(b"\n").view(np.int64)
@@ -105,7 +105,7 @@ def _quantise(p: np.ndarray) -> np.ndarray:
     return np.clip(np.rint(-np.log10(np.maximum(p, 1e-300)) * STEP), 0, 255).astype(np.uint8)
 
 
-def fit(train: DataFrame, least: int = 2, flush: int = 3_000_000) -> tuple[Unigrams, SharedTable]:
+def fit(train: DataFrame, least: int = 2, flush: int = 3_000_000) -> tuple[Unigrams, SharedTable, SharedTable]:
     sc = train.sparkSession.sparkContext
     counts = materialise(_counted(train, lambda d, o: tokens(d, o)[0], flush), "token-counts")
 
@@ -127,77 +127,74 @@ def fit(train: DataFrame, least: int = 2, flush: int = 3_000_000) -> tuple[Unigr
 
     bigrams = materialise(_counted(train, pairs, flush).where(F.col("n") >= least), "bigrams")
 
+    by_context = bigrams.groupBy(F.expr(f"key div {max(v, 1)}").alias("key")).agg(F.sum(F.col("n") - DISCOUNT).alias("mass"))
+    masses = materialise(by_context, "context-masses")
+
+    def weights(t: pa.Table) -> tuple[dict[str, np.ndarray], dict]:
+        ctx = t["key"].to_numpy()
+        bow = np.maximum(1 - t["mass"].to_numpy() / sent.value.count(ctx), 1e-9)
+        return ef_build((ctx - ctx[0]).view(U), "ctx") | {"bow": _quantise(bow), "exact": bow.astype(np.float32)}, {}
+
+    backoff = build(masses, "key", masses.count(), weights, "lm-backoff")
+    sent_backoff = sc.broadcast(backoff)
+
     def level_two(t: pa.Table) -> tuple[dict[str, np.ndarray], dict]:
         code, n = t["key"].to_numpy(), t["n"].to_numpy()
-        ctx = code // v
+        ctx, word = code // v, code % v
         first = int(ctx[0])
-        own, start, size = np.unique(ctx, return_index=True, return_counts=True)
-        seen = sent.value.count(own).astype(np.float64)
-        kept = np.maximum(n - DISCOUNT, 0)
-        mass = np.add.reduceat(kept, start) / seen
-        bow = np.maximum(1 - mass, 1e-9)
-        ids = code % v
-        p1 = (sent.value.count(ids) + 0.5) / (sent.value.total + 0.5 * (v + 1))
+        own, size = np.unique(ctx, return_counts=True)
+        seen, bow = sent.value.count(own), context_weights(sent_backoff.value, own, "exact")
+        p1 = (sent.value.count(word) + 0.5) / (sent.value.total + 0.5 * (v + 1))
+        p = (n - DISCOUNT) / np.repeat(seen, size) + np.repeat(bow, size) * p1
         many = np.zeros(int(own[-1]) - first + 1, np.int64)
         many[own - first] = size
-        bows = np.zeros(len(many), np.uint8)
-        bows[own - first] = _quantise(bow)
-        p = kept / np.repeat(seen, size) + np.repeat(bow, size) * p1
         bits = max(64, 1 << int(8 * len(code)).bit_length())
         guard = np.zeros(bits, np.uint8)
         guard[(mix(code.view(U)) & U(bits - 1)).astype(np.int64)] = 1
         arrays = ef_build(np.concatenate([[0], np.cumsum(many)]).astype(U), "ptr") | ef_build((code - first * v).view(U), "next")
-        return arrays | {"p": _quantise(p), "bow": bows, "guard": np.packbits(guard, bitorder="little")}, {"first": first, "contexts": len(many)}
+        return arrays | {"p": _quantise(p), "guard": np.packbits(guard, bitorder="little")}, {"first": first, "contexts": len(many)}
 
-    # shards are cut between contexts, so that a context's successors lie together
-    rows = bigrams.count()
-    ctx = bigrams.withColumn("ctx", F.expr(f"key div {max(v, 1)}"))
-    return unigrams, build_by_context(ctx, rows, level_two)
+    return unigrams, backoff, build(bigrams, "key", bigrams.count(), level_two, "lm-bigrams")
 
 
-def build_by_context(bigrams: DataFrame, rows: int, encode) -> SharedTable:
-    folder = new_path(bigrams.sparkSession, "lm-bigrams")
-    dealt = bigrams.repartitionByRange(max(1, -(-rows // 2_000_000)), "ctx").sortWithinPartitions("key")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = [b for b in batches if b.num_rows]
-        if got:
-            arrays, facts = encode(pa.Table.from_batches(got))
-            yield pa.RecordBatch.from_arrays([pa.array([facts["first"]], pa.int64()), pa.array([write_arrays(folder, arrays)]), pa.array([json.dumps(facts)])], names=["first", "file", "facts"])
-
-    return SharedTable([(r[0], r[1], json.loads(r[2])) for r in dealt.mapInArrow(run, "first bigint, file string, facts string").collect()])
+def context_weights(backoff: SharedTable, ctx: np.ndarray, what: str) -> np.ndarray:
+    """Back-off weight of each context: exact, or its quantised logarithm ("bow"); 1 (logarithm 0) for one without successors."""
+    out = np.zeros(len(ctx)) if what == "bow" else np.ones(len(ctx))
+    for s, own in backoff.each(ctx):
+        a = open_arrays(backoff.files[s])
+        own = own[ctx[own] >= backoff.first[s]]
+        at = EliasFano(a, "ctx").find((ctx[own] - backoff.first[s]).view(U))
+        own, at = own[at >= 0], at[at >= 0]
+        out[own] = a["bow"][at] / -STEP if what == "bow" else a["exact"][at]
+    return out
 
 
-def bigram_logs(shards: SharedTable, v: int, ctx: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(log10 p(word|ctx) or nan, log10 of ctx's back-off weight), both of quantised values."""
-    logp, bow = np.full(len(ctx), np.nan), np.zeros(len(ctx))
-    for s, own in shards.each(ctx):
+def bigram_logs(shards: SharedTable, v: int, ctx: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """log10 p(word|ctx), quantised; nan where the trie has no such successor."""
+    logp = np.full(len(ctx), np.nan)
+    for s, own in shards.each(ctx * v + np.maximum(word, 0)):
         a, f = open_arrays(shards.files[s]), shards.facts[s]
-        own = own[(ctx[own] >= f["first"]) & (ctx[own] < f["first"] + f["contexts"])]
-        rel = ctx[own] - f["first"]
-        bow[own] = a["bow"][rel] / -STEP
-        code = ctx[own] * v + word[own]
-        bit = (mix(code.view(U)) & U(len(a["guard"]) * 8 - 1)).astype(np.int64)
-        may = (word[own] >= 0) & ((a["guard"][bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 > 0)
-        own, rel = own[may], rel[may]
+        own = own[(word[own] >= 0) & (ctx[own] >= f["first"]) & (ctx[own] < f["first"] + f["contexts"])]
+        bit = (mix((ctx[own] * v + word[own]).view(U)) & U(len(a["guard"]) * 8 - 1)).astype(np.int64)
+        own = own[(a["guard"][bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 > 0]
         if not len(own):
             continue
-        ptr = EliasFano(a, "ptr")
+        rel, ptr = ctx[own] - f["first"], EliasFano(a, "ptr")
         begin, end = ptr.access(rel).astype(np.int64), ptr.access(rel + 1).astype(np.int64)
         some = end > begin
         own, rel, begin, end = own[some], rel[some], begin[some], end[some]
         at = EliasFano(a, "next").find((rel * v + word[own]).view(U))
         good = (at >= begin) & (at < end)
         logp[own[good]] = a["p"][at[good]] / -STEP
-    return logp, bow
+    return logp
 
 
-def score(docs: DataFrame, model: tuple[Unigrams, SharedTable]) -> DataFrame:
+def score(docs: DataFrame, model: tuple[Unigrams, SharedTable, SharedTable]) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score of every row."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        uni, bi = sent.value
+        uni, back, bi = sent.value
         v = uni.size
         for batch in batches:
             for part in slices(batch, "text", SCORE_BYTES):
@@ -213,8 +210,9 @@ def score(docs: DataFrame, model: tuple[Unigrams, SharedTable]) -> DataFrame:
                 pair, upair = pd.factorize(both)
                 ctx, w = upair // (v + 1), upair % (v + 1) - 1
                 known = before >= 0
-                lp, bow = bigram_logs(bi, v, np.where(upair >= 0, ctx, -1), w)
-                full = np.where(np.isnan(lp[pair]), bow[pair] + base, lp[pair])
+                lp = bigram_logs(bi, v, np.where(upair >= 0, ctx, -1), w)[pair]
+                bow = context_weights(back, np.append(ids, end), "bow")[np.concatenate([[len(ids)], code[:-1]])]
+                full = np.where(np.isnan(lp), bow + base, lp)
                 full = np.where(known, full, base)
                 at = ptr[:-1]
                 yield pa.RecordBatch.from_arrays([
