@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CORRUPT = "_corrupt_record"
-
 CASE_STATE = (
     "version_esquema STRING, caso_id STRING, ticker STRING, bolsa STRING, fecha_caso STRING, estado_pipeline STRING, decision STRING, score STRING, confianza STRING, "
     "next_step STRING, proxima_revision STRING, pipeline MAP<STRING, STRUCT<estado: STRING, artefacto: STRING, artefacto_previo: STRING>>, "
@@ -21,21 +19,25 @@ VOTE_EVENT = (
 def json_documents(spark: SparkSession, path: str, schema: str, keep_broken: bool = False) -> DataFrame:
     """One JSON object per file; unreadable ones go, or stay as rows with status ERROR_READ."""
     text = spark.read.option("wholetext", True).text(path).select("value", F.input_file_name().alias("file"))
-    parsed = text.withColumn("j", F.from_json("value", f"{schema}, {CORRUPT} STRING", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}))
-    broken = F.col("j").isNull() | F.col(f"j.{CORRUPT}").isNotNull()
+    parsed = text.withColumn("j", F.from_json("value", schema))
     if keep_broken:
-        return parsed.select("j.*", "file", F.when(broken, "ERROR_READ").otherwise("OK").alias("read_status")).drop(CORRUPT)
-    return parsed.where(~broken).select("j.*", "file").drop(CORRUPT)
+        return parsed.select("j.*", "file", F.when(_is_object("value"), "OK").otherwise("ERROR_READ").alias("read_status"))
+    return parsed.where(_is_object("value")).select("j.*", "file")
+
+
+def _is_object(c: str) -> Column:
+    """Whether a text is one well-formed JSON object."""
+    return F.coalesce(F.get_json_object(c, "$").startswith("{"), F.lit(False))
 
 
 def json_lines(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
     """(rows with their log order `seq`, counts of lines, blank lines and parse errors)."""
     text = spark.read.text(path).withColumn("seq", F.monotonically_increasing_id())
-    parsed = text.withColumn("j", F.from_json("value", f"{schema}, {CORRUPT} STRING", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}))
+    parsed = text.withColumn("j", F.from_json("value", schema))
     blank = F.trim("value") == ""
-    bad = ~blank & (F.col("j").isNull() | F.col(f"j.{CORRUPT}").isNotNull())
+    bad = ~blank & ~_is_object("value")
     counts = parsed.agg(F.count(F.lit(1)).alias("n_lines"), F.count_if(blank).alias("n_blank"), F.count_if(bad).alias("n_errors"))
-    return parsed.where(~blank & ~bad).select("seq", "j.*").drop(CORRUPT), counts
+    return parsed.where(~blank & ~bad).select("seq", "j.*"), counts
 
 
 def price_table(spark: SparkSession, path: str) -> DataFrame:
