@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,10 +20,28 @@ VOTE_EVENT = (
 )
 
 
+def any_texts(spark: SparkSession, glob: str) -> DataFrame:
+    """(file, value) of all files that a pattern names, also those that start with an underscore, which Spark's sources skip.
+
+    The names are listed once on the driver; the files are read by the executors.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(glob)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
+    names = [(f.getPath().toUri().toString(),) for f in found if f.isFile()]
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name in batch.column("file").to_pylist():
+                fs, at = pafs.FileSystem.from_uri(name)
+                with fs.open_input_stream(at) as f:
+                    yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([f.read().decode("utf-8", "replace")])], names=["file", "value"])
+
+    return spark.createDataFrame(names, "file string").repartition(max(1, len(names) // 64)).mapInArrow(read, "file string, value string")
+
+
 def json_documents(spark: SparkSession, path: str, schema: str, keep_broken: bool = False) -> DataFrame:
     """One JSON object per file; unreadable ones go, or stay as rows with status ERROR_READ."""
-    text = spark.read.option("wholetext", True).text(path).select("value", F.input_file_name().alias("file"))
-    parsed = text.withColumn("j", F.from_json("value", schema))
+    parsed = any_texts(spark, path).withColumn("j", F.from_json("value", schema))
     if keep_broken:
         return parsed.select("j.*", "file", F.when(_is_object("value"), "OK").otherwise("ERROR_READ").alias("read_status"))
     return parsed.where(_is_object("value")).select("j.*", "file")
@@ -47,7 +69,7 @@ def price_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def files(spark: SparkSession, path: str) -> DataFrame:
-    """Path, folder, name, size and time of every file under a folder; contents are not read."""
+    """Path, folder, name, size and time of every file under a folder; contents are not read; names that start with _ or . are skipped."""
     df = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length", "modificationTime")
     return df.select("path", F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("folder"), F.substring_index("path", "/", -1).alias("name"), F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
 

@@ -128,7 +128,8 @@ def test_readers_and_sinks(spark, tmp_path):
     (tmp_path / "log.jsonl").write_text('{"event_id":"1","score_raw_0_100":5}\n\n{bad\n{"event_id":"2"}\n')
     rows, counts = readers.json_lines(spark, f"{tmp_path}/log.jsonl", readers.VOTE_EVENT)
     assert [r.event_id for r in rows.orderBy("seq").collect()] == ["1", "2"] and tuple(counts.first()) == (4, 1, 1)
-    assert readers.files(spark, f"{tmp_path}/c").count() == 2
+    (tmp_path / "c/T/1/Report_v1.json").write_text("{}")
+    assert [(r.name, r["size"]) for r in readers.files(spark, f"{tmp_path}/c").collect()] == [("Report_v1.json", 2)]
     out = f"{tmp_path}/out"
     sinks.versioned(spark.range(3).toDF("x"), out, "r1", F.lit("2024-01-01"))
     sinks.versioned(spark.range(4).toDF("x"), out, "r2", F.lit("2024-01-02"))
