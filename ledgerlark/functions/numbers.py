@@ -30,7 +30,7 @@ def percent(n: Column, d: Column, digits: int = 2) -> Column:
 
 
 def clamp(x: Column, low: float, high: float) -> Column:
-    return F.greatest(F.lit(low), F.least(F.lit(high), x))
+    return F.when(x.isNotNull(), F.greatest(F.lit(low), F.least(F.lit(high), x)))
 
 
 def nonzero(x: Column) -> Column:
