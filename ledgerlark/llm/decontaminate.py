@@ -2,8 +2,8 @@
 
 Every text's word k-grams are hashed and the smallest hash of each run of `span - k + 1` k-grams is
 kept, so any two texts that share `span` consecutive words share a kept hash.  Documents' and
-benchmark's fingerprints are joined; documents with a match go on to the extension, where their
-whole windows of `span` words are joined to the benchmark's windows and compared word by word.
+benchmark's fingerprints are joined; documents with a match go on to the extension (their texts
+are kept by the first pass, so no text is shuffled to them), where their whole windows of `span` words are joined to the benchmark's windows and compared word by word.
 An item shorter than span is one window, and is looked up at its own length.
 
 Before a join, hashes are tested against a bitmap of fixed size that holds the benchmark's hashes: it
@@ -22,7 +22,7 @@ from .common import materialise, maybe_broadcast, table
 
 WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 _UP, _LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-BITMAP_WORDS = 4096
+BITMAP_WORDS = 8192
 
 
 def ascii_lower(c: Column) -> Column:
@@ -85,17 +85,28 @@ def sliding_min(df: DataFrame, values: str, w: int, out: str) -> DataFrame:
     return df.withColumn(out, last).drop(*temps)
 
 
-def bitmap(spark: SparkSession, hashes: DataFrame, col: str) -> Column:
-    """A literal array of BITMAP_WORDS longs with a bit for every hash of the column."""
-    slot = F.pmod(F.col(col), F.lit(BITMAP_WORDS * 32))
-    rows = hashes.groupBy((slot / 32).cast("int").alias("w")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod({col}, 32) as int))")).alias("bits")).collect()
+#: Bit offsets of a hash's probes; each probe takes as many bits as the bitmap's index has.
+PROBES = (0, 18, 36, 46)
+
+
+def _slots(h: Column) -> list[Column]:
+    return [F.shiftrightunsigned(h, p).bitwiseAND(F.lit(BITMAP_WORDS * 32 - 1)).cast("int") for p in PROBES]
+
+
+def bitmap(hashes: DataFrame, col: str) -> Column:
+    """A literal array of BITMAP_WORDS longs, 32 bits used of each: a Bloom filter of the column's hashes."""
+    slots = hashes.select(F.explode(F.array(*_slots(F.col(col)))).alias("s"))
+    rows = slots.groupBy(F.shiftright("s", 5).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, s & 31)")).alias("bits")).collect()
     have = {r["w"]: r["bits"] for r in rows}
     return F.expr("array(" + ",".join(f"{have.get(i, 0)}L" for i in range(BITMAP_WORDS)) + ")")
 
 
 def _in_bitmap(bits: Column, h: Column) -> Column:
-    word = F.element_at(bits, (F.pmod(h, F.lit(BITMAP_WORDS * 32)) / 32).cast("int") + 1)
-    return F.getbit(word, F.pmod(h, F.lit(32)).cast("int")) == 1
+    tests = [F.getbit(F.element_at(bits, F.shiftright(s, 5) + 1), s.bitwiseAND(F.lit(31))) == 1 for s in _slots(h)]
+    out = tests[0]
+    for t in tests[1:]:
+        out = out & t
+    return out
 
 
 def windows_of(benchmark: DataFrame, span: int) -> DataFrame:
@@ -108,7 +119,6 @@ def windows_of(benchmark: DataFrame, span: int) -> DataFrame:
 
 def contamination(docs: DataFrame, benchmark: DataFrame, span: int = 13, k: int = 8, share: int = 20, broadcast_rows: int = 200_000) -> DataFrame:
     """Per input row: doc_id, n_words, n_hit, n_items, items (sorted ids), contaminated."""
-    spark = docs.sparkSession
     found = materialise(windows_of(benchmark, span).withColumn("wh", F.transform("ws", lambda w: F.xxhash64(w))), "windows")
     windows = found.where(F.col("length") == span)
     lengths = sorted(r[0] for r in found.select("length").distinct().collect())
@@ -128,11 +138,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, span: int = 13, k: int
     for s in short:
         marks = marks.union(s)
     marks = materialise(marks.distinct(), "fingerprints")
-    mark_bits, whole_bits = bitmap(spark, marks, "h"), bitmap(spark, whole, "h")
+    mark_bits, whole_bits = bitmap(marks, "h"), bitmap(whole, "h")
 
     # first pass: winnowed fingerprints of every document
     base = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    hashed = base.select("doc_id", F.md5(F.col("text").cast("binary")).alias("key"), F.transform(words(F.col("text")), lambda w: F.xxhash64(w)).alias("wh"))
+    hashed = base.select("doc_id", "text", F.md5(F.col("text").cast("binary")).alias("key"), F.transform(words(F.col("text")), lambda w: F.xxhash64(w)).alias("wh"))
     hashed = sliding_min(gram_hashes(hashed, "wh", k, "g"), "g", span - k + 1, "m")
     tested = [F.col("m")]
     for n in lengths:
@@ -140,13 +150,16 @@ def contamination(docs: DataFrame, benchmark: DataFrame, span: int = 13, k: int
             hashed = gram_hashes(hashed, "wh", n, f"s{n}")
             tested.append(F.col(f"s{n}"))
     may = F.array_distinct(F.concat(*[F.filter(t, lambda h: _in_bitmap(mark_bits, h)) for t in tested]))
-    first = materialise(hashed.select("doc_id", "key", F.size("wh").cast("bigint").alias("n_words"), may.alias("may")), "fingerprinted")
+    tried = hashed.select("doc_id", "key", "text", F.size("wh").cast("bigint").alias("n_words"), may.alias("may"))
+    kept_text = F.when(F.size("may") > 0, F.col("text")).alias("text")
+    first = materialise(tried.select("doc_id", "key", "n_words", "may", kept_text), "fingerprinted")
     matched = first.where(F.size("may") > 0).select("doc_id", "key", F.explode("may").alias("h")).join(maybe_broadcast(marks, broadcast_rows), "h", "left_semi").select("doc_id", "key").distinct()
+    matched = materialise(matched, "matched")
 
     # second pass: extend the hits of matched documents to whole windows
-    bodies = base.withColumn("key", F.md5(F.col("text").cast("binary"))).dropDuplicates(["doc_id", "key"]).alias("b")
     same = F.col("b.doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("b.key") == F.col("m.key"))
-    again = bodies.join(matched.alias("m"), same, "left_semi").select("doc_id", "key", words(F.col("text")).alias("w"))
+    bodies = first.where(F.size("may") > 0).alias("b").join(maybe_broadcast(matched, broadcast_rows).alias("m"), same, "left_semi").dropDuplicates(["doc_id", "key"])
+    again = bodies.select("doc_id", "key", words(F.col("text")).alias("w"))
     again = again.withColumn("wh", F.transform("w", lambda x: F.xxhash64(x)))
     starts = []
     for n in lengths:
@@ -166,7 +179,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, span: int = 13, k: int
     covered = F.aggregate("at", zero, lambda a, s: F.struct((a["hit"] + F.greatest(F.lit(0), s["at"] + s["length"] - F.greatest(s["at"], a["end"]))).alias("hit"), F.greatest(a["end"], s["at"] + s["length"]).alias("end")))["hit"]
     per = per.select("doc_id", "key", covered.cast("bigint").alias("n_hit"), "items")
     same = F.col("f.doc_id").eqNullSafe(F.col("p.doc_id")) & (F.col("f.key") == F.col("p.key"))
-    out = first.alias("f").join(per.alias("p"), same, "left").select("f.doc_id", "f.key", "n_words", F.coalesce("n_hit", F.lit(0).cast("bigint")).alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+    out = first.drop("text", "may").alias("f").join(per.alias("p"), same, "left").select("f.doc_id", "f.key", "n_words", F.coalesce("n_hit", F.lit(0).cast("bigint")).alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
     bad = (F.col("n_hit") > 0) & (F.col("n_hit") * share >= F.col("n_words"))
     return out.select("doc_id", "key", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"), "items", bad.alias("contaminated"))
 
@@ -174,6 +187,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, span: int = 13, k: int
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **params) -> DataFrame:
     """The rows of docs that are not contaminated, all columns unchanged."""
     bad = contamination(docs, benchmark, **params).where("contaminated").select(F.col("doc_id").alias("__id"), F.col("key").alias("__bad")).distinct()
+    bad = maybe_broadcast(materialise(bad, "contaminated"), 500_000)
     marked = docs.withColumn("__key", F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")))
     same = marked["doc_id"].eqNullSafe(bad["__id"]) & (marked["__key"] == bad["__bad"])
     return marked.join(bad, same, "left_anti").drop("__key")
