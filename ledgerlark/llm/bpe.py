@@ -15,6 +15,7 @@ bytes that are no UTF-8 after decoding become U+FFFD, as the library does.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +32,40 @@ from .textbytes import buffers, slices, span_hashes
 #: The public byte-level BPE pattern (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _WORD = regex.compile(PATTERN)
+NARROW = 0x250
+
+
+def _narrow_pattern() -> re.Pattern:
+    """The same pattern for texts of code points below NARROW, with the classes spelled out, for the faster engine."""
+    classes = []
+    for name in (r"\p{L}", r"\p{N}", r"\s"):
+        fits = regex.compile(name)
+        classes.append("".join(re.escape(chr(c)) for c in range(NARROW) if fits.match(chr(c))))
+    letters, numbers, blanks = classes
+    return re.compile(f"'(?:[stmd]|re|ve|ll)| ?[{letters}]+| ?[{numbers}]+| ?[^{blanks}{letters}{numbers}]+|[{blanks}]+(?![^{blanks}])|[{blanks}]+")
+
+
+_NARROW_WORD, _WIDE = _narrow_pattern(), re.compile(f"[^\x00-{chr(NARROW - 1)}]")
+
+
+def _plain_words(text: str) -> list[str]:
+    return (_WORD if _WIDE.search(text) else _NARROW_WORD).findall(text)
+
+
+def words_of(text: str, cut: re.Pattern | None) -> list[str]:
+    """The words of a text, which they cover; added tokens (matched by cut) are words."""
+    if cut is None or not cut.search(text):
+        return _plain_words(text)
+    words, at = [], 0
+    for m in cut.finditer(text):
+        words += _plain_words(text[at : m.start()])
+        words.append(m.group())
+        at = m.end()
+    return words + _plain_words(text[at:])
+
+
+def _cutter(added: list[str]) -> re.Pattern | None:
+    return re.compile("|".join(map(re.escape, added))) if added else None
 
 
 def tokenizer_path() -> str:
@@ -62,20 +97,12 @@ def split_words(data: np.ndarray, offsets: np.ndarray, added: list[str]) -> tupl
     """(start, end, ptr): byte spans of the words of each text; words cover it, added tokens are words."""
     raw = data.tobytes()
     starts, counts = [], np.zeros(len(offsets) - 1, np.int64)
-    cut = regex.compile("|".join(map(regex.escape, added))) if added else None
+    cut = _cutter(added)
     for i, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):
         if a == b:
             continue
         text = raw[a:b].decode("utf-8", "replace")
-        if cut is None or not cut.search(text):
-            words = _WORD.findall(text)
-        else:
-            words, at = [], 0
-            for m in cut.finditer(text):
-                words += _WORD.findall(text[at : m.start()])
-                words.append(m.group())
-                at = m.end()
-            words += _WORD.findall(text[at:])
+        words = words_of(text, cut)
         size = np.fromiter(map(len, words), np.int64, len(words))
         begin = np.cumsum(size) - size
         if len(text) != b - a:
@@ -87,25 +114,27 @@ def split_words(data: np.ndarray, offsets: np.ndarray, added: list[str]) -> tupl
     return start, end, np.concatenate([[0], np.cumsum(counts)])
 
 
-def distinct_words(docs: DataFrame, added: list[str], flush: int = 1_000_000) -> DataFrame:
-    """(word): all distinct words of the texts, as bytes."""
+def distinct_words(docs: DataFrame, added: list[str], flush: int = 400_000) -> DataFrame:
+    """(key, word): all distinct words of the texts, as bytes, with their hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(0, np.uint64)
+        seen: set[str] = set()
+        cut = _cutter(added)
         for batch in batches:
-            for part in slices(batch, "text"):
-                data, offsets = buffers(part.column("text"))
-                start, end, _ = split_words(data, offsets, added)
-                code, uniq = pd.factorize(span_hashes(data, start, end))
-                first = np.full(len(uniq), len(code))
-                np.minimum.at(first, code, np.arange(len(code)))
-                new = ~np.isin(uniq, seen)
+            for part in slices(batch, "text", 1 << 20):
+                fresh: set[str] = set()
+                for text in part.column("text").to_pylist():
+                    if text:
+                        fresh.update(words_of(text, cut))
+                fresh -= seen
                 if len(seen) > flush:
-                    seen = np.zeros(0, np.uint64)
-                seen = np.concatenate([seen, uniq[new]])
-                raw = data.tobytes()
-                words = [raw[a:b] for a, b in zip(start[first[new]].tolist(), end[first[new]].tolist())]
-                yield pa.RecordBatch.from_arrays([pa.array(uniq[new].view(np.int64)), pa.array(words, pa.binary())], names=["key", "word"])
+                    seen = set()
+                seen |= fresh
+                words = [w.encode() for w in fresh]
+                end = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+                start = np.concatenate([[0], end])[:-1]
+                keys = span_hashes(np.frombuffer(b"".join(words), np.uint8), start.astype(np.int64), end)
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(words, pa.binary())], names=["key", "word"])
 
     text = docs.select(F.col("text").cast("string").alias("text"))
     return text.mapInArrow(run, "key bigint, word binary").distinct()
@@ -124,13 +153,13 @@ def word_table(words: DataFrame, path: str) -> SharedTable:
         if (key[1:] == key[:-1]).any():
             raise ValueError("two words share a hash")
         ids, at = [], [np.zeros(1, np.int64)]
-        for i in range(0, len(key), 20_000):
-            got = [e.ids for e in tok.encode_batch([w.decode("utf-8", "replace") for w in t["word"].slice(i, 20_000).to_pylist()], add_special_tokens=False)]
+        for i in range(0, len(key), 2_000):
+            got = [e.ids for e in tok.encode_batch([w.decode("utf-8", "replace") for w in t["word"].slice(i, 2_000).to_pylist()], add_special_tokens=False)]
             ids.append(np.fromiter((x for e in got for x in e), np.uint32))
             at.append(np.fromiter(map(len, got), np.int64, len(got)))
         return {"key": key, "at": np.cumsum(np.concatenate(at)), "ids": np.concatenate(ids)}, {}
 
-    return build(words, "key", words.count(), encode, "word-ids")
+    return build(words, "key", words.count(), encode, "word-ids", shard_rows=300_000)
 
 
 def lookup(words: SharedTable, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -170,7 +199,7 @@ def encode(docs: DataFrame, path: str | None = None, ids_as_list: bool = True) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", 2 << 20):
                 data, offsets = buffers(part.column("text"))
                 start, end, ptr = split_words(data, offsets, added)
                 code, uniq = pd.factorize(span_hashes(data, start, end))
@@ -202,8 +231,9 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [decode_bytes(np.frombuffer(x or b"", "<u4").astype(np.int64), sent.value).decode("utf-8", "replace") for x in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("ids"), pa.array(texts, pa.string())], names=["doc_id", "ids", "text"])
+            for part in slices(batch, "ids", 2 << 20):
+                texts = [decode_bytes(np.frombuffer(x or b"", "<u4").astype(np.int64), sent.value).decode("utf-8", "replace") for x in part.column("ids").to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("ids"), pa.array(texts, pa.string())], names=["doc_id", "ids", "text"])
 
     kind = encoded.schema["doc_id"].dataType.simpleString()
     return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, ids binary, text string")
