@@ -7,10 +7,12 @@ that yields about k ln k + 2k of them are thrown; the earliest dart of each coor
 the limit doubles for texts with an empty coordinate.  Two texts agree in a coordinate with the
 probability of their (weighted) Jaccard similarity.
 
-Exact copies collapse first.  Then bands of coordinates are joined: in every bucket all members meet
-one leader, drawn anew in each round; pairs whose signatures agree enough are verified on the
-shingles themselves, links are joined into components, and only members of different components go
-on to another round.  When few such pairs are left they are all emitted, so no bucket is capped.
+Exact copies collapse first.  Then bands of coordinates are joined: every text meets the leader with
+which it shares most buckets; pairs whose sketches agree enough are verified on the shingles
+themselves and links are joined into components.  In further rounds a bucket's texts outside its
+largest component meet a member of it, drawn anew.  When few such pairs are left, or rounds no longer thin them out, all of them are
+emitted, so no bucket is capped.  With 32 bands of 6 coordinates a pair at similarity 0.8 shares a
+bucket with probability 0.9999.
 
 Defined results: texts without words are each a class of their own; a text of one to four words has
 one shingle, all its words; repeated ids are one document per distinct (doc_id, text), null ids
@@ -27,10 +29,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, table
-from .textbytes import NOT_ALNUM, Spans, U, buffers, grams, mix, slices
+from .common import materialise, maybe_broadcast, table
+from .textbytes import NOT_ALNUM, U, Spans, buffers, grams, mix, slices, tidy
 
-SHINGLE, COORDINATES, BANDS = 5, 64, 16
+SHINGLE, COORDINATES, BANDS, SKETCH = 5, 192, 32, 64
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -69,10 +71,10 @@ def elements(h: np.ndarray, ptr: np.ndarray, weight: str) -> tuple[np.ndarray, n
 
 
 def signatures(h: np.ndarray, ptr: np.ndarray, k: int = COORDINATES) -> np.ndarray:
-    """(texts, k) dart identities, 0 for texts without elements."""
+    """(texts, k): 32 bits of the earliest dart's rank in each coordinate, 0 for texts without elements."""
     n = len(ptr) - 1
     size = np.diff(ptr)
-    out = np.zeros((n, k), U)
+    out = np.zeros((n, k), np.uint32)
     todo = np.flatnonzero(size > 0)
     darts = np.full(n, k * np.log(k) + 2 * k)
     while len(todo):
@@ -82,30 +84,20 @@ def signatures(h: np.ndarray, ptr: np.ndarray, k: int = COORDINATES) -> np.ndarr
         live = mask[doc]
         unit, doc = h[live], doc[live]
         limit = (darts / np.maximum(size, 1))[doc]
-        rank, dart = np.zeros(len(unit)), unit
-        cells, ranks, ids = [], [], []
+        rank, first = np.zeros(len(unit)), np.full(n * k, np.inf)
         j = 0
         while len(unit):
             j += 1
             dart = mix(unit + U(j * 0xD1342543DE82EF95 % 2**64))
             rank = rank - np.log(((dart >> U(11)).astype(np.float64) + 0.5) * 2.0**-53)
             in_ = rank < limit
-            unit, doc, rank, limit, dart = unit[in_], doc[in_], rank[in_], limit[in_], dart[in_]
-            ident = mix(dart ^ U(0x5851F42D4C957F2D))
-            cells.append(doc * k + (ident % U(k)).astype(np.int64))
-            ranks.append(rank)
-            ids.append(ident)
-        cell, rank, ident = np.concatenate(cells), np.concatenate(ranks), np.concatenate(ids)
-        order = np.lexsort((rank, cell))
-        cell, ident = cell[order], ident[order]
-        first = np.ones(len(cell), bool)
-        first[1:] = cell[1:] != cell[:-1]
-        filled = np.zeros(n * k, U)
-        filled[cell[first]] = ident[first] | U(1)
-        filled = filled.reshape(n, k)
-        done = todo[(filled[todo] != 0).all(axis=1)]
-        out[done] = filled[done]
-        todo = np.setdiff1d(todo, done, assume_unique=True)
+            unit, doc, rank, limit = unit[in_], doc[in_], rank[in_], limit[in_]
+            cell = doc * k + (mix(dart[in_] ^ U(0x5851F42D4C957F2D)) % U(k)).astype(np.int64)
+            np.minimum.at(first, cell, rank)
+        first = first.reshape(n, k)
+        full = np.isfinite(first).all(axis=1) & mask
+        out[full] = (mix(first[full].view(U)) >> U(32)).astype(np.uint32)
+        todo = todo[~full[todo]]
         darts[todo] *= 2
     return out
 
@@ -116,19 +108,39 @@ def text_key(c: Column) -> Column:
 
 
 def sign(docs: DataFrame, weight: str, coordinates: int, bands: int) -> DataFrame:
-    """(doc_id, copy_key, sig): signature folded to 32 bits a coordinate, null for texts without words."""
+    """(doc_id, copy_key, buckets, sketch): a hash per band, and a byte of each of the first coordinates; null without words."""
+    rows = coordinates // bands
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 h, ptr = elements(*shingles(*buffers(part.column("text"))), weight)
-                sig = (signatures(h, ptr, coordinates) >> U(32)).astype(np.uint32)
-                some = np.diff(ptr) > 0
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("copy_key"), pa.array([r.tobytes() if ok else None for r, ok in zip(sig, some)], pa.binary())], names=["doc_id", "copy_key", "sig"])
+                sig = signatures(h, ptr, coordinates)
+                none = np.diff(ptr) == 0
+                band = np.broadcast_to(mix(np.arange(1, bands + 1, dtype=U)), (len(sig), bands))
+                for r in range(rows):
+                    band = mix(band * U(0x9FB21C651E98DF25) + sig[:, r : rows * bands : rows].astype(U))
+                at = pa.array(np.arange(len(sig) + 1, dtype=np.int32) * bands, mask=np.append(none, False))
+                buckets = pa.ListArray.from_arrays(at, pa.array(band.reshape(-1).view(np.int64)))
+                sketch = pa.array([None if x else r.tobytes() for x, r in zip(none, (sig[:, :SKETCH] & 255).astype(np.uint8))], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("copy_key"), buckets, sketch], names=["doc_id", "copy_key", "buckets", "sketch"])
 
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     cols = docs.select("doc_id", text.alias("text"), text_key(text).alias("copy_key"))
-    return cols.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, copy_key string, sig binary")
+    return cols.mapInArrow(tidy(run), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, copy_key string, buckets array<bigint>, sketch binary")
+
+
+def agreeing(pairs: DataFrame, share: float) -> DataFrame:
+    """Those (a, b) whose sketches agree in at least share of their bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in ("sketch_a", "sketch_b"))
+                kept = batch.filter(pa.array((x == y).mean(axis=1) >= share))
+                yield pa.RecordBatch.from_arrays([kept.column("a"), kept.column("b")], names=["a", "b"])
+
+    return pairs.select("a", "b", "sketch_a", "sketch_b").mapInArrow(tidy(run), "a bigint, b bigint")
 
 
 def _jaccard(a: np.ndarray, b: np.ndarray) -> float:
@@ -148,86 +160,95 @@ def verify(pairs: DataFrame, threshold: float) -> DataFrame:
                 kept = part.filter(pa.array(ok, pa.bool_()))
                 yield pa.RecordBatch.from_arrays([kept.column("a"), kept.column("b")], names=["a", "b"])
 
-    return pairs.select("a", "b", "text_a", "text_b").mapInArrow(run, "a string, b string")
+    return pairs.select("a", "b", "text_a", "text_b").mapInArrow(tidy(run), "a bigint, b bigint")
 
 
-def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """(node, comp): the smallest node of each connected component; minimum labels with pointer jumping."""
     both = materialise(links.select("a", "b").union(links.select("b", "a")).distinct(), "links")
-    labels = materialise(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("comp")), "labels")
+    labels = both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("comp"))
     while True:
+        labels = materialise(labels, "labels")
         near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("near"))
-        step = labels.join(near, "node", "left").select("node", "comp", F.least("comp", F.coalesce("near", "comp")).alias("to"))
+        step = labels.join(near, "node").select("node", "comp", F.least("comp", "near").alias("to"))
         jump = labels.select(F.col("node").alias("to"), F.col("comp").alias("far"))
-        new = materialise(step.join(jump, "to", "left").select("node", F.least("to", F.coalesce("far", "to")).alias("comp"), F.col("comp").alias("old")), "labels")
-        changed = new.where(F.col("comp") != F.col("old")).limit(1).count()
+        new = materialise(step.join(jump, "to").select("node", F.least("to", "far").alias("comp"), (F.least("to", "far") != F.col("comp")).alias("moved")), "moved")
         labels = new.select("node", "comp")
-        if not changed:
-            break
-    return nodes.join(labels, "node", "left").select("node", F.coalesce("comp", "node").alias("comp"))
-
-
-def _agree(coordinates: int, share: float) -> Column:
-    """Whether enough coordinates of sig_a and sig_b are equal."""
-    at = F.sequence(F.lit(0), F.lit(coordinates - 1))
-    same = F.aggregate(at, F.lit(0), lambda n, i: n + (F.substring(F.col("sig_a"), i * 4 + 1, F.lit(4)) == F.substring(F.col("sig_b"), i * 4 + 1, F.lit(4))).cast("int"))
-    return same >= int(share * coordinates)
-
-
-def near_duplicates(docs: DataFrame, threshold: float = 0.8, weight: str = "set", coordinates: int = COORDINATES, bands: int = BANDS, few: int = 200_000) -> DataFrame:
-    """(doc_id, copy_key, class_id, class_size, kept): one row per distinct (doc_id, text)."""
-    rows = coordinates // bands
-    signed = materialise(sign(docs, weight, coordinates, bands).dropDuplicates(["doc_id", "copy_key"]), "signed")
-    wordless = signed.where(F.col("sig").isNull())
-    copies = signed.where(F.col("sig").isNotNull())
-    texts = materialise(copies.groupBy("copy_key").agg(F.min("doc_id").alias("low"), F.first("sig").alias("sig")), "texts")
-    band = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.xxhash64(i, F.substring(F.col("sig"), i * (4 * rows) + 1, F.lit(4 * rows))))
-    banded = texts.select(F.col("copy_key").alias("node"), F.explode(band).alias("bucket"))
-    shared = banded.groupBy("bucket").count().where("count > 1").select("bucket")
+        if not new.where("moved").limit(1).count():
+            return labels
+
+
+def near_duplicates(docs: DataFrame, threshold: float = 0.8, weight: str = "set", coordinates: int = COORDINATES, bands: int = BANDS, few: int = 300_000) -> DataFrame:
+    """(doc_id, copy_key, class_id, class_size, kept, n_rows): one row per distinct (doc_id, text)."""
+    rows = sign(docs, weight, coordinates, bands).groupBy("doc_id", "copy_key")
+    signed = materialise(rows.agg(F.first("buckets").alias("buckets"), F.first("sketch").alias("sketch"), F.count(F.lit(1)).alias("n_rows")), "signed")
+    wordless = signed.where(F.col("sketch").isNull())
+    copies = signed.where(F.col("sketch").isNotNull()).select("doc_id", "copy_key", "n_rows")
+    distinct = signed.where(F.col("sketch").isNotNull()).groupBy("copy_key").agg(F.min("doc_id").alias("low"), F.first("buckets").alias("buckets"), F.first("sketch").alias("sketch"))
+    texts = materialise(distinct.withColumn("node", F.monotonically_increasing_id()), "texts")
+    banded = texts.select("node", F.explode("buckets").alias("bucket"))
+    shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
     buckets = materialise(banded.join(shared, "bucket"), "buckets")
-    members = buckets.select("node").distinct()
+    members = buckets.groupBy("node").agg(F.count(F.lit(1)).alias("n")).select("node").join(texts.select("node", "copy_key", "low", "sketch"), "node")
+    members = materialise(members, "members")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    bodies = docs.select(text_key(text).alias("node"), text.alias("text")).join(members, "node", "left_semi").dropDuplicates(["node"])
-    full = materialise(bodies.join(texts.select(F.col("copy_key").alias("node"), "sig"), "node"), "members")
+    keys = maybe_broadcast(members.select("copy_key", "node", "low"), 1_000_000)
+    mine = docs.select("doc_id", text_key(text).alias("copy_key"), text.alias("text")).join(keys, "copy_key")
+    by_id = mine.where(F.col("doc_id") == F.col("low")).select("node", "text")
+    without_id = mine.where(F.col("doc_id").isNull() & F.col("low").isNull()).groupBy("node").agg(F.first("text").alias("text"))
+    bodies = materialise(by_id.union(without_id), "bodies")  # a repeated row may stand twice; links are made distinct
 
     def linked(pairs: DataFrame) -> DataFrame:
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        sa = full.select(F.col("node").alias("a"), F.col("sig").alias("sig_a"))
-        sb = full.select(F.col("node").alias("b"), F.col("sig").alias("sig_b"))
-        close = pairs.join(sa, "a").join(sb, "b").where(_agree(coordinates, threshold - 0.25)).select("a", "b")
-        ta = full.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
-        tb = full.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-        return verify(close.join(ta, "a").join(tb, "b"), threshold)
-
-    links, live, comps = None, buckets, None
-    for turn in range(64):
-        if turn:
-            sizes = live.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("m")).groupBy("bucket").agg(F.sum("m").alias("s"), F.sum(F.col("m") * F.col("m")).alias("q"))
-            open_ = sizes.where("s * s > q")
-            left = open_.agg(F.coalesce(F.sum((F.col("s") * F.col("s") - F.col("q")) / 2), F.lit(0.0))).first()[0]
+        for side in "ab":
+            pairs = pairs.join(members.select(F.col("node").alias(side), F.col("sketch").alias(f"sketch_{side}")), side)
+        close = agreeing(pairs, threshold - 0.2)
+        for side in "ab":
+            close = close.join(bodies.select(F.col("node").alias(side), F.col("text").alias(f"text_{side}")), side)
+        return verify(close, threshold)
+
+    live, comps, left, turn = buckets.withColumn("comp", F.col("node")), members.select("node", F.col("node").alias("comp")), float("inf"), 0
+    while True:
+        order = F.xxhash64("bucket", "node", F.lit(turn))
+        if not turn:  # each text meets the leader with which it shares most buckets
+            lead = live.groupBy("bucket").agg(F.min_by("node", order).alias("a"))
+            met = live.join(lead, "bucket").where("node != a").groupBy(F.col("node").alias("b"), "a").agg(F.count(F.lit(1)).alias("n"))
+            pairs, last = met.groupBy("b").agg(F.max_by("a", F.struct("n", "a")).alias("a")), False
+        else:
+            sizes = live.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("m")).groupBy("bucket")
+            tops = sizes.agg(F.sum("m").alias("s"), F.sum(F.col("m") * F.col("m")).alias("q"), F.max_by("comp", F.struct("m", "comp")).alias("top"))
+            open_ = materialise(tops.where("s * s > q"), "open")
+            was, left = left, open_.agg(F.coalesce(F.sum((F.col("s") * F.col("s") - F.col("q")) / 2), F.lit(0.0))).first()[0]
             if not left:
                 break
-            live = live.join(open_.select("bucket"), "bucket", "left_semi")
-        if turn and left <= few:
-            x, y = live.select("bucket", F.col("node").alias("a"), F.col("comp").alias("ca")), live.select("bucket", F.col("node").alias("b"), F.col("comp").alias("cb"))
-            pairs = x.join(y, "bucket").where("a < b and ca != cb")
-        else:
-            lead = live.groupBy("bucket").agg(F.min_by("node", F.xxhash64(F.lit(turn), "bucket", "node")).alias("a"), *([F.min_by("comp", F.xxhash64(F.lit(turn), "bucket", "node")).alias("ca")] if turn else []))
-            pairs = live.join(lead, "bucket").withColumnRenamed("node", "b").where("a != b" + (" and comp != ca" if turn else ""))
-        found = materialise(linked(pairs), "verified")
-        links = found if links is None else links.union(found)
-        comps = materialise(components(members, links), "components")
-        if turn and left <= few:
+            live = materialise(live.join(open_.select("bucket", "top"), "bucket"), "live")
+            last = left <= few or left > 0.7 * was
+            if last:  # all pairs of different components
+                x, y = live.select("bucket", F.col("node").alias("a"), F.col("comp").alias("ca")), live.select("bucket", F.col("node").alias("b"), F.col("comp").alias("cb"))
+                pairs = x.join(y, "bucket").where("a < b and ca != cb")
+            else:  # texts outside a bucket's largest component meet one of its members
+                lead = live.where("comp = top").groupBy("bucket").agg(F.min_by("node", order).alias("a"))
+                pairs = live.where("comp != top").join(lead, "bucket").withColumnRenamed("node", "b")
+        turn += 1
+        found = linked(pairs)
+        for side in "ab":  # links between components
+            found = found.join(comps.select(F.col("node").alias(side), F.col("comp").alias(f"c{side}")), side)
+        found = materialise(found.select(F.col("ca").alias("a"), F.col("cb").alias("b")).where("a != b").distinct(), "found")
+        if found.limit(1).count():
+            merged = components(found).select(F.col("node").alias("comp"), F.col("comp").alias("to"))
+            comps = materialise(comps.join(merged, "comp", "left").select("node", F.coalesce("to", "comp").alias("comp")), "components")
+        if last:
             break
-        live = materialise(buckets.join(comps, "node"), "live")
-    by_text = texts.join(comps.withColumnRenamed("node", "copy_key"), "copy_key", "left").select("copy_key", F.coalesce("comp", "copy_key").alias("comp"), "low")
+        live = live.select("bucket", "node").join(comps, "node")
+    comps = comps.join(members.select("node", "copy_key"), "node").select("copy_key", F.col("comp").alias("joined"))
+    by_text = texts.join(comps, "copy_key", "left").select("copy_key", F.coalesce("joined", "node").alias("comp"), "low")
     head = by_text.groupBy("comp").agg(F.min(F.struct(F.col("low").isNull().alias("n"), "low", "copy_key")).alias("head"))
     with_head = by_text.join(head, "comp").select("copy_key", "comp", F.col("head.low").alias("class_id"), F.col("head.copy_key").alias("head_key"))
-    classed = copies.drop("sig").join(with_head, "copy_key")
+    classed = copies.join(with_head, "copy_key")
     size = classed.groupBy("comp").agg(F.count(F.lit(1)).alias("class_size"))
     kept = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("copy_key") == F.col("head_key"))
-    out = classed.join(size, "comp").select("doc_id", "copy_key", "class_id", "class_size", kept.alias("kept"))
-    alone = wordless.select("doc_id", "copy_key", F.col("doc_id").alias("class_id"), F.lit(1).cast("bigint").alias("class_size"), F.lit(True).alias("kept"))
+    out = classed.join(size, "comp").select("doc_id", "copy_key", "class_id", "class_size", kept.alias("kept"), "n_rows")
+    alone = wordless.select("doc_id", "copy_key", F.col("doc_id").alias("class_id"), F.lit(1).cast("bigint").alias("class_size"), F.lit(True).alias("kept"), "n_rows")
     return out.union(alone)
 
 
@@ -236,11 +257,16 @@ def keep_one(docs: DataFrame, **params) -> DataFrame:
 
     Rows without words stay, except repeats of the same (doc_id, text).
     """
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    kept = near_duplicates(docs, **params).where("kept").select(F.col("doc_id").alias("__id"), F.col("copy_key").alias("__head"))
-    marked = docs.withColumn("__key", text_key(text))
-    same = marked["doc_id"].eqNullSafe(kept["__id"]) & (marked["__key"] == kept["__head"])
-    return marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", "__key"]).drop("__key")
+    found = materialise(near_duplicates(docs, **params).select(F.col("doc_id").alias("__id"), F.col("copy_key").alias("__of"), "kept", "n_rows"), "classes")
+    gone = maybe_broadcast(found.where("not kept").select("__id", "__of"), 500_000)
+    repeated = found.where("kept and n_rows > 1").select("__id", "__of")
+    marked = docs.withColumn("__key", text_key(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__of"))
+    left = marked.join(gone, same, "left_anti")
+    if repeated.limit(1).count():
+        few = maybe_broadcast(repeated, 500_000)
+        left = left.join(few, same, "left_anti").union(left.join(few, same, "left_semi").dropDuplicates(["doc_id", "__key"]))
+    return left.drop("__key")
 
 
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,8 @@ hash (a polynomial over the bytes modulo 2**64, then mixed with the length).
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -69,7 +70,7 @@ def buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return d, o - o[0]
 
 
-def slices(batch: pa.RecordBatch, text: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, text: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with about `most` bytes of text each; a longer text stands alone."""
     n = batch.num_rows
     if not n:
@@ -82,6 +83,23 @@ def slices(batch: pa.RecordBatch, text: str, most: int = 4 << 20) -> Iterator[pa
         at = to
 
 
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """run, after which the worker gives its free memory back: workers are kept for later stages."""
+
+    def then_release(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            _POWERS[:] = [np.ones(1, U), np.ones(1, U)]
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except AttributeError:  # only glibc has it
+                pass
+
+    return then_release
+
+
 class Spans:
     """Byte spans of a column: hash, start, end, and ptr, where document i has spans ptr[i]:ptr[i+1]."""
 
