@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from .common import materialise, table
 from .sharedtable import SharedTable, build, open_arrays
-from .textbytes import buffers, slices, span_hashes
+from .textbytes import buffers, slices, span_hashes, tidy
 
 #: The public byte-level BPE pattern (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -137,7 +137,7 @@ def distinct_words(docs: DataFrame, added: list[str], flush: int = 400_000) -> D
                 yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(words, pa.binary())], names=["key", "word"])
 
     text = docs.select(F.col("text").cast("string").alias("text"))
-    return text.mapInArrow(run, "key bigint, word binary").distinct()
+    return text.mapInArrow(tidy(run), "key bigint, word binary").distinct()
 
 
 def word_table(words: DataFrame, path: str) -> SharedTable:
@@ -216,7 +216,7 @@ def encode(docs: DataFrame, path: str | None = None, ids_as_list: bool = True) -
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     cols = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    return cols.mapInArrow(run, f"doc_id {kind}, ids {'array<int>' if ids_as_list else 'binary'}")
+    return cols.mapInArrow(tidy(run), f"doc_id {kind}, ids {'array<int>' if ids_as_list else 'binary'}")
 
 
 def decode_bytes(ids: np.ndarray, table_: tuple[np.ndarray, np.ndarray]) -> bytes:
@@ -236,7 +236,7 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("ids"), pa.array(texts, pa.string())], names=["doc_id", "ids", "text"])
 
     kind = encoded.schema["doc_id"].dataType.simpleString()
-    return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, ids binary, text string")
+    return encoded.select("doc_id", "ids").mapInArrow(tidy(run), f"doc_id {kind}, ids binary, text string")
 
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

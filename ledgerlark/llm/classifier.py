@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .common import fold, table
 from .quality import Stats
-from .textbytes import NOT_ALNUM, Spans, U, slices
+from .textbytes import NOT_ALNUM, U, Spans, slices, tidy
 
 BUCKETS, SHAPES, SHAPE_WEIGHT = 4096, 9, 3.0
 _BANG = np.zeros(256, bool)
@@ -79,7 +79,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, max_train: int = 4000, d
                     yield pa.RecordBatch.from_arrays([p.column("doc_id"), p.column("y").cast(pa.int32()), pa.array([a.tolist() for a in at], pa.list_(pa.int32())), pa.array([r[a].tolist() for r, a in zip(x, at)], pa.list_(pa.float32()))], names=["doc_id", "y", "at", "v"])
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    got = rows.mapInArrow(run, f"doc_id {id_type}, y int, at array<int>, v array<float>").toArrow().sort_by("doc_id").slice(0, max_train)
+    got = rows.mapInArrow(tidy(run), f"doc_id {id_type}, y int, at array<int>, v array<float>").toArrow().sort_by("doc_id").slice(0, max_train)
     if not got.num_rows:
         return None
     x = np.zeros((got.num_rows, BUCKETS + SHAPES), np.float32)
@@ -112,7 +112,7 @@ def classify(docs: DataFrame, model: dict | None, k: int = 25, threshold: float
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
         for batch in batches:
-            for part in slices(batch, "text", 2 << 20):
+            for part in slices(batch, "text", 1 << 20):
                 for i in range(0, part.num_rows, 512):
                     p = part.slice(i, 512)
                     score = vote(m, features(p.column("text")), k) if m else np.zeros(p.num_rows)
@@ -120,7 +120,7 @@ def classify(docs: DataFrame, model: dict | None, k: int = 25, threshold: float
                     yield pa.RecordBatch.from_arrays([p.column("doc_id"), pa.array(score), pa.array((score >= threshold).astype(np.int32))], names=["doc_id", "score", "predicted"])
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, f"doc_id {id_type}, score double, predicted int")
+    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(tidy(run), f"doc_id {id_type}, score double, predicted int")
 
 
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

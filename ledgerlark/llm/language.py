@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import fold, materialise, table
-from .textbytes import buffers, slices
+from .textbytes import buffers, slices, tidy
 
 ORDERS = (3, 2, 1, 0)
 _MASK = {k: np.uint32((1 << (8 * (k + 1))) - 1) for k in ORDERS}
@@ -63,7 +63,7 @@ def count_grams(train: DataFrame, flush: int = 1_500_000) -> DataFrame:
             held.clear()
 
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", 2 << 20):
                 data, offsets = buffers(part.column("text"))
                 if not len(data):
                     continue
@@ -80,7 +80,7 @@ def count_grams(train: DataFrame, flush: int = 1_500_000) -> DataFrame:
         yield from emit()
 
     cols = train.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    return cols.mapInArrow(run, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    return cols.mapInArrow(tidy(run), "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
 def fit(train: DataFrame, max_nodes: int = 400_000) -> dict:
@@ -157,7 +157,7 @@ def identify_language(docs: DataFrame, model: dict) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", 2 << 20):
                 data, offsets = buffers(part.column("text"))
                 raw = data.tobytes()
                 letter = np.array([bool(_LETTER.search(raw[a:b].decode("utf-8", "replace"))) for a, b in zip(offsets[:-1], offsets[1:])], bool)
@@ -173,7 +173,7 @@ def identify_language(docs: DataFrame, model: dict) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(pred, pa.string()), pa.array(np.where(letter, score, 0.0)), pa.array(least)], names=["doc_id", "lang_pred", "score", "bits"])
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, f"doc_id {id_type}, lang_pred string, score double, bits double")
+    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(tidy(run), f"doc_id {id_type}, lang_pred string, score double, bits double")
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

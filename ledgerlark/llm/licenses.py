@@ -20,7 +20,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import materialise, table
-from .textbytes import LOWER, NOT_ALNUM, Spans, buffers, grams, hash_word, slices
+from .textbytes import LOWER, NOT_ALNUM, Spans, buffers, grams, hash_word, slices, tidy
 
 #: Phrases and labels of the base scan (fixed values).
 BASE_PHRASES = (
@@ -114,7 +114,7 @@ def scan_words(docs: DataFrame, gram_set: np.ndarray, phrases, k: int) -> DataFr
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {id_type}, n_words bigint, n_base bigint, first_word bigint, last_word bigint, base array<string>, hits array<struct<gram: bigint, pos: int, words: string>>"
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
+    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(tidy(run), schema)
 
 
 def license_spans(scanned: DataFrame, templates: DataFrame, k: int, slack: int, min_share: float) -> DataFrame:

@@ -30,10 +30,10 @@ from pyspark.sql import functions as F
 from .common import fold, materialise, table
 from .eliasfano import EliasFano, ef_build
 from .sharedtable import SharedTable, build, open_arrays
-from .textbytes import SPACE, Spans, U, buffers, hash_word, mix, slices
+from .textbytes import SPACE, U, Spans, buffers, hash_word, mix, slices, tidy
 
 END = hash_word(b"\n").view(np.int64)
-DISCOUNT, STEP, SCORE_BYTES = 0.75, 32.0, 6 << 20
+DISCOUNT, STEP, SCORE_BYTES = 0.75, 32.0, 3 << 20
 
 
 def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -70,7 +70,7 @@ def _counted(docs: DataFrame, key_of, flush: int) -> DataFrame:
             yield from emit()
 
     text = docs.select(F.col("text").cast("string").alias("text"))
-    return text.mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
+    return text.mapInArrow(tidy(run), "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
 
 
 class Unigrams:
@@ -105,7 +105,7 @@ def _quantise(p: np.ndarray) -> np.ndarray:
     return np.clip(np.rint(-np.log10(np.maximum(p, 1e-300)) * STEP), 0, 255).astype(np.uint8)
 
 
-def fit(train: DataFrame, least: int = 2, flush: int = 3_000_000) -> tuple[Unigrams, SharedTable, SharedTable]:
+def fit(train: DataFrame, least: int = 2, flush: int = 1_500_000) -> tuple[Unigrams, SharedTable, SharedTable]:
     sc = train.sparkSession.sparkContext
     counts = materialise(_counted(train, lambda d, o: tokens(d, o)[0], flush), "token-counts")
 
@@ -222,7 +222,7 @@ def score(docs: DataFrame, model: tuple[Unigrams, SharedTable, SharedTable]) ->
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     cols = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    return cols.mapInArrow(run, f"doc_id {kind}, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
+    return cols.mapInArrow(tidy(run), f"doc_id {kind}, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
 
 
 def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:

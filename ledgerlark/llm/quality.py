@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
-from .textbytes import LOWER, SPACE, Spans, U, buffers, grams, mix, slices, span_hashes, sums
+from .textbytes import LOWER, SPACE, U, Spans, buffers, grams, mix, slices, span_hashes, sums, tidy
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[np.frombuffer(b"#*$%&|<>", np.uint8)] = True
@@ -175,7 +175,7 @@ def quality_verdicts(docs: DataFrame, rules=RULES, sample_rows: int = 500, diges
                     cols += [pa.array(s[c].astype(np.int64)) for c in base] + [pa.array(failed)]
                 yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "kept", "rejected_by", *base, *(["base_failed"] if digest else [])])
 
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
+    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(tidy(run), schema)
 
 
 def quality_filter(docs: DataFrame, rules=RULES, sample_rows: int = 500) -> DataFrame:
@@ -187,7 +187,7 @@ def quality_filter(docs: DataFrame, rules=RULES, sample_rows: int = 500) -> Data
             for part in slices(batch, "text"):
                 yield part.filter(pa.array(cascade(part.column("text"), ordered) < 0))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,6 +23,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame
 
 from .common import new_path
+from .textbytes import tidy
 
 _MAPPED: dict[str, dict[str, np.ndarray]] = {}
 
@@ -105,5 +106,5 @@ def build(df: DataFrame, key: str, rows: int, encode: Callable[[pa.Table], tuple
             file = write_arrays(folder, arrays)
             yield pa.RecordBatch.from_arrays([pa.array([table[key][0].as_py()], pa.int64()), pa.array([file]), pa.array([json.dumps(facts)])], names=["first", "file", "facts"])
 
-    shards = dealt.mapInArrow(run, "first bigint, file string, facts string").collect()
+    shards = dealt.mapInArrow(tidy(run), "first bigint, file string, facts string").collect()
     return SharedTable([(r[0], r[1], json.loads(r[2])) for r in shards])
