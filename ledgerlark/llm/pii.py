@@ -24,7 +24,7 @@ PATTERNS = {
     # [0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)
     "ip": (r"[0-9]\.[0-9]", r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}"),
     # [0-9]([\x20-]?[0-9])+ of 14 to 19 digits: a whole run of digits and single separators
-    "card": (r"[0-9][0-9 -]{12}[0-9]", r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){13,18}(?![ -]?[0-9])"),
+    "card": (r"[0-9](?:[ -]?[0-9]){13}", r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){13,18}(?![ -]?[0-9])"),
     # \+[0-9][\x20().0-9-]+[0-9]
     "phone": ("+", r"\+[0-9][ ().0-9-]+[0-9]"),
     # [A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}

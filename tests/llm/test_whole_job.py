@@ -1,0 +1,19 @@
+"""Rows and sizes at which an operator once did less than the whole job."""
+
+import duckdb
+
+from ledgerlark.llm import pii
+
+
+def test_cards_written_digit_by_digit(spark):
+    card = "4111111111111111"
+    rows = [(1, f"card {' '.join(card)} end"), (2, f"x {'-'.join(card)}"), (3, " ".join("4111111111111112")), (4, "-".join("123456789012"))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in pii.find_pii(df).collect()}
+    assert got == {1: [("card", 5, 36)], 2: [("card", 2, 33)], 3: [], 4: []}
+    assert {r.doc_id: r.text for r in pii.redact(df).collect()}[1] == "card [CARD] end"
+    con = duckdb.connect()
+    con.execute("CREATE TABLE d0 (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO d0 VALUES (?, ?)", rows)
+    want = con.execute(f"SELECT doc_id, spans FROM ({pii.spans_sql('d0')})").fetchall()
+    assert {i: ",".join(f"{k}:{a}:{b}" for k, a, b in s) for i, s in got.items()} == dict(want)
