@@ -6,8 +6,8 @@ under a language is the sum over its bytes of -log2 p, where p comes from the lo
 has seen the byte, each failed context charging its escape (method C: distinct / (total + distinct)),
 and 1/256 stands below order 0.  The language with the shortest code wins.
 
-Size bound: the trees keep at most max_nodes nodes over all languages, the most frequent ones, so
-the broadcast model is bounded; counting itself covers all texts.
+All nodes of all languages are kept, in sharded files of the shared folder that scoring workers
+memory-map, so neither the driver nor a broadcast holds a tree.
 
 Defined results: null texts and texts without a letter give `und` with score 0; equal code lengths
 go to the language first in order; an empty training set gives `und` everywhere.
@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import fold, materialise, table
+from .sharedtable import SharedTable, build, open_arrays
 from .textbytes import buffers, slices, tidy
 
 ORDERS = (3, 2, 1, 0)
@@ -83,58 +84,56 @@ def count_grams(train: DataFrame, flush: int = 1_500_000) -> DataFrame:
     return cols.mapInArrow(tidy(run), "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-def fit(train: DataFrame, max_nodes: int = 400_000) -> dict:
-    """Frozen context trees: {"langs": [...], lang: {order: (grams, log2 p), ...}, contexts and their escapes}."""
+def fit(train: DataFrame) -> dict:
+    """Frozen context trees: {"langs": [...], "trees": shards of their nodes}.
+
+    A node's key is its context's key (language number, order, the bytes before) times 256 plus its byte.
+    Shards are cut by context, so that each holds all of a context's bytes and computes its escape exactly.
+    """
     grams = count_grams(train)
+    langs = sorted(r[0] for r in train.select(F.col("lang").cast("string").alias("lang")).where("lang IS NOT NULL").distinct().collect())
+    number = train.sparkSession.createDataFrame(list(enumerate(langs)), "i bigint, lang string")
     order = F.explode(F.array(*[F.lit(k) for k in ORDERS]))
     rolled = grams.select("lang", "n", "gram", order.alias("k"))
-    nodes = materialise(
-        rolled.groupBy("lang", "k", F.expr("gram & (shiftleft(1L, 8 * (k + 1)) - 1)").alias("gram")).agg(F.sum("n").alias("n")),
-        "ppm-nodes",
-    )
-    bucket = F.floor(F.log2("n") * 4)
-    sizes = sorted(((r[0], r[1]) for r in nodes.groupBy(bucket.alias("b")).count().collect()), reverse=True)
-    least, total = 0, 0
-    for b, n in sizes:
-        total += n
-        if total > max_nodes:
-            least = b + 1
-            break
-    kept = nodes.where(bucket >= least).toPandas()
-    model: dict = {"langs": sorted(kept["lang"].unique().tolist())}
-    for lang in model["langs"]:
-        tree = {}
-        of = kept[kept["lang"] == lang]
-        for k in ORDERS:
-            x = of[of["k"] == k].sort_values("gram")
-            g, n = x["gram"].to_numpy(np.int64).astype(np.uint32), x["n"].to_numpy(np.float64)
-            ctx = g >> np.uint32(8)
-            seen, first = np.unique(ctx, return_index=True)
-            total_n = np.add.reduceat(n, first) if len(n) else n
-            distinct = np.diff(np.append(first, len(ctx))).astype(np.float64)
-            at = np.repeat(np.arange(len(seen)), distinct.astype(int))
-            logp = np.log2(n / (total_n + distinct)[at]) if len(n) else n
-            tree[k] = (g, logp, seen, np.log2(distinct / (total_n + distinct)))
-        model[lang] = tree
-    return model
-
-
-def log2_probability(model: dict, lang: str, grams: np.ndarray) -> np.ndarray:
-    """log2 p(last byte | the bytes before it) of each gram under a language's frozen trees."""
+    counted = rolled.groupBy("lang", "k", F.expr("gram & (shiftleft(1L, 8 * (k + 1)) - 1)").alias("gram")).agg(F.sum("n").alias("n"))
+    ctx = F.expr(f"shiftleft(i * {len(ORDERS)} + k, 24) | shiftright(gram, 8)")
+    nodes = materialise(counted.join(F.broadcast(number), "lang").select(ctx.alias("ctx"), F.expr("gram & 255").alias("byte"), "n"), "ppm-nodes")
+
+    def encode(t: pa.Table) -> tuple[dict[str, np.ndarray], dict]:
+        ctx, byte, n = t["ctx"].to_numpy(), t["byte"].to_numpy(), t["n"].to_numpy().astype(np.float64)
+        key = (ctx << 8) | byte
+        by = np.argsort(key, kind="stable")
+        key, ctx, n = key[by], ctx[by], n[by]
+        seen, first, distinct = np.unique(ctx, return_index=True, return_counts=True)
+        total = np.add.reduceat(n, first)
+        return {"key": key, "logp": np.log2(n / np.repeat(total + distinct, distinct)), "ctx": seen, "escape": np.log2(distinct / (total + distinct))}, {}
+
+    have = {r[0] for r in nodes.select(F.expr(f"shiftright(ctx, 24) div {len(ORDERS)}")).distinct().collect()}
+    return {"langs": [l for i, l in enumerate(langs) if i in have], "number": [i for i in range(len(langs)) if i in have], "trees": build(nodes, "ctx", nodes.count(), encode, "ppm-trees")}
+
+
+def _find(sorted_keys: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    at = np.minimum(np.searchsorted(sorted_keys, x), len(sorted_keys) - 1)
+    return at, sorted_keys[at] == x
+
+
+def log2_probability(model: dict, number: int, grams: np.ndarray) -> np.ndarray:
+    """log2 p(last byte | the bytes before it) of each gram under the frozen trees of a language."""
     out, open_ = np.zeros(len(grams)), np.arange(len(grams))
+    trees: SharedTable = model["trees"]
     for k in ORDERS:
-        keys, logp, seen, escape = model[lang][k]
-        if not len(open_) or not len(keys):
-            continue
-        g = grams[open_] & _MASK[k]
-        at = np.minimum(np.searchsorted(keys, g), len(keys) - 1)
-        hit = keys[at] == g
-        out[open_[hit]] += logp[at[hit]]
-        open_, g = open_[~hit], g[~hit]
-        ctx = g >> np.uint32(8)
-        at = np.minimum(np.searchsorted(seen, ctx), len(seen) - 1)
-        known = seen[at] == ctx
-        out[open_[known]] += escape[at[known]]
+        g = (grams[open_] & _MASK[k]).astype(np.int64)
+        ctx = (np.int64(number * len(ORDERS) + k) << 24) | (g >> 8)
+        left = np.ones(len(open_), bool)
+        for s, own in trees.each(ctx):
+            a = open_arrays(trees.files[s])
+            at, hit = _find(a["key"], (ctx[own] << 8) | (g[own] & 255))
+            out[open_[own[hit]]] += a["logp"][at[hit]]
+            left[own[hit]] = False
+            own = own[~hit]
+            at, known = _find(a["ctx"], ctx[own])
+            out[open_[own[known]]] += a["escape"][at[known]]
+        open_ = open_[left]
     out[open_] -= 8.0
     return out
 
@@ -145,8 +144,8 @@ def code_lengths(model: dict, data: np.ndarray, offsets: np.ndarray) -> np.ndarr
     if len(data):
         code, uniq = pd.factorize(byte_grams(data, offsets))
         some = np.diff(offsets) > 0
-        for i, lang in enumerate(model["langs"]):
-            out[some, i] = -np.add.reduceat(log2_probability(model, lang, uniq)[code], offsets[:-1][some])
+        for i, number in enumerate(model["number"]):
+            out[some, i] = -np.add.reduceat(log2_probability(model, number, uniq)[code], offsets[:-1][some])
     return out
 
 

@@ -1,8 +1,13 @@
 """Rows and sizes at which an operator once did less than the whole job."""
 
+import collections
+import math
+
 import duckdb
+import pyarrow as pa
 
-from ledgerlark.llm import pii
+from ledgerlark.llm import language, pii
+from ledgerlark.llm.textbytes import buffers
 
 
 def test_cards_written_digit_by_digit(spark):
@@ -17,3 +22,37 @@ def test_cards_written_digit_by_digit(spark):
     con.executemany("INSERT INTO d0 VALUES (?, ?)", rows)
     want = con.execute(f"SELECT doc_id, spans FROM ({pii.spans_sql('d0')})").fetchall()
     assert {i: ",".join(f"{k}:{a}:{b}" for k, a, b in s) for i, s in got.items()} == dict(want)
+
+
+def test_language_trees_keep_every_node(spark):
+    """One hot language of over 400,000 distinct contexts and a rare one, whose every node is less frequent than the hot ones."""
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    hot = ["".join(map(chr, rng.integers(33, 127, 20_000))) for _ in range(40)]
+    rows = [(t, "hot") for t in hot] + [("abc", "rare")]
+    model = language.fit(spark.createDataFrame(rows, "text string, lang string"))
+    assert model["langs"] == ["hot", "rare"]
+    text = hot[0][:50] + "abc"
+    got = language.code_lengths(model, *buffers(pa.array([text])))[0]
+    for i, lang in enumerate(model["langs"]):
+        counts = collections.defaultdict(collections.Counter)
+        for t in (t for t, l in rows if l == lang):
+            b = b"\0\0\0" + t.encode()
+            for j in range(3, len(b)):
+                for k in range(4):
+                    counts[b[j - k : j]][b[j]] += 1
+        b, bits = b"\0\0\0" + text.encode(), 0.0
+        for j in range(3, len(b)):
+            for k in (3, 2, 1, 0):
+                c = counts.get(b[j - k : j])
+                if c is None:
+                    continue
+                n, d = sum(c.values()), len(c)
+                if b[j] in c:
+                    bits -= math.log2(c[b[j]] / (n + d))
+                    break
+                bits -= math.log2(d / (n + d))
+            else:
+                bits += 8
+        assert math.isclose(got[i], bits, rel_tol=1e-9)
