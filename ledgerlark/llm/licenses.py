@@ -3,7 +3,8 @@
 Every rolling word k-gram of every text is hashed; those that occur in a template are joined in
 Spark to the template positions, votes are counted per (text, template, offset diagonal),
 neighbouring diagonals are merged, and a merged span is accepted when the template words that it
-covers, compared word by word in the join, are at least min_share of the template.
+covers, compared word by word in the join, are at least min_share of the template (long_share for
+templates of LONG words or more, whose labels do not hang on a single name or number).
 
 Templates are a fixed parameter, so the join's right side is bounded.  Defined results: a null text
 is empty; a text matching nothing has empty labels and score 0; a repeated row is scanned by itself.
@@ -41,6 +42,21 @@ TEMPLATES = {
     "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
     "isc": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",
 }
+#: Short notice forms (fixed values): each holds the words that tell its licence from others, so all of them are required.
+NOTICES = (
+    ("mit", "under the MIT License"),
+    ("apache-2.0", "Apache License Version 2.0"),
+    ("apache-2.0", "Apache License 2.0"),
+    ("gpl-3.0", "GNU General Public License version 3"),
+    ("gpl-3.0", "GNU General Public License v3"),
+    ("gpl-2.0", "GNU General Public License version 2"),
+    ("gpl-2.0", "GNU General Public License v2"),
+    ("bsd", "under the BSD License"),
+    ("mpl-2.0", "Mozilla Public License Version 2.0"),
+    ("mpl-2.0", "Mozilla Public License 2.0"),
+    ("isc", "under the ISC License"),
+)
+LONG = 18
 
 
 def _words(text: str) -> list[bytes]:
@@ -50,14 +66,14 @@ def _words(text: str) -> list[bytes]:
     return [low[i:j] for i, j in zip(s.start, s.end)]
 
 
-def template_positions(spark: SparkSession, templates: dict[str, str], k: int) -> tuple[DataFrame, np.ndarray]:
+def template_positions(spark: SparkSession, templates: dict[str, str], notices, k: int) -> tuple[DataFrame, np.ndarray]:
     rows, hashes = [], []
-    for label, text in sorted(templates.items()):
+    for t, (label, text) in enumerate([*sorted(templates.items()), *notices]):
         ws = _words(text)
         g, at = grams(np.array([hash_word(w) for w in ws]), np.array([0, len(ws)]), k)
         hashes += [np.sort(g)]
-        rows += [(int(h.astype(np.int64)), label, int(i), len(ws), b" ".join(ws[i : i + k]).decode()) for h, i in zip(g, at)]
-    df = spark.createDataFrame(rows, "gram bigint, label string, at int, t_words int, t_text string")
+        rows += [(int(h.astype(np.int64)), t, label, int(i), len(ws), b" ".join(ws[i : i + k]).decode()) for h, i in zip(g, at)]
+    df = spark.createDataFrame(rows, "gram bigint, template int, label string, at int, t_words int, t_text string")
     return df, np.unique(np.concatenate(hashes))
 
 
@@ -117,26 +133,27 @@ def scan_words(docs: DataFrame, gram_set: np.ndarray, phrases, k: int) -> DataFr
     return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(tidy(run), schema)
 
 
-def license_spans(scanned: DataFrame, templates: DataFrame, k: int, slack: int, min_share: float) -> DataFrame:
+def license_spans(scanned: DataFrame, templates: DataFrame, k: int, slack: int, min_share: float, long_share: float) -> DataFrame:
     """(rid, label, first, last, share): verified spans; votes per diagonal, neighbours within slack merged."""
     hits = scanned.where(F.size("hits") > 0).select("rid", F.explode("hits").alias("h")).select("rid", "h.*")
     votes = hits.join(F.broadcast(templates), "gram").where(F.col("words") == F.col("t_text"))
-    diagonals = votes.groupBy("rid", "label", "t_words", (F.col("pos") - F.col("at")).alias("diagonal")).agg(
+    diagonals = votes.groupBy("rid", "template", "label", "t_words", (F.col("pos") - F.col("at")).alias("diagonal")).agg(
         F.collect_set("at").alias("ats"), F.min("pos").alias("first"), (F.max("pos") + k - 1).alias("last")
     )
-    by = W.partitionBy("rid", "label").orderBy("diagonal")
+    by = W.partitionBy("rid", "template").orderBy("diagonal")
     new = (F.col("diagonal") - F.lag("diagonal").over(by) > slack).cast("int")
     merged = diagonals.withColumn("new", F.coalesce(new, F.lit(1))).withColumn("run", F.sum("new").over(by))
-    spans = merged.groupBy("rid", "label", "t_words", "run").agg(F.array_distinct(F.flatten(F.collect_list("ats"))).alias("ats"), F.min("first").alias("first"), F.max("last").alias("last"))
+    spans = merged.groupBy("rid", "template", "label", "t_words", "run").agg(F.array_distinct(F.flatten(F.collect_list("ats"))).alias("ats"), F.min("first").alias("first"), F.max("last").alias("last"))
     covered = F.size(F.array_distinct(F.flatten(F.transform("ats", lambda a: F.sequence(a, a + (k - 1))))))
-    return spans.withColumn("share", covered / F.col("t_words")).where(F.col("share") >= min_share).select("rid", "label", "first", "last", "share")
+    least = F.when(F.col("t_words") >= LONG, long_share).otherwise(min_share)
+    return spans.withColumn("share", covered / F.col("t_words")).where(F.col("share") >= least).select("rid", "label", "first", "last", "share")
 
 
-def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, phrases=BASE_PHRASES, k: int = 3, slack: int = 3, min_share: float = 0.99) -> DataFrame:
+def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, phrases=BASE_PHRASES, k: int = 3, slack: int = 3, min_share: float = 0.99, notices=NOTICES, long_share: float = 0.9) -> DataFrame:
     """One row per input row: base places and labels, and the labels of verified template spans."""
-    positions, gram_set = template_positions(docs.sparkSession, templates, k)
+    positions, gram_set = template_positions(docs.sparkSession, templates, notices, k)
     scanned = materialise(scan_words(docs, gram_set, phrases, k).withColumn("rid", F.monotonically_increasing_id()), "license-scan")
-    spans = license_spans(scanned, positions, k, slack, min_share)
+    spans = license_spans(scanned, positions, k, slack, min_share, long_share)
     per_row = spans.groupBy("rid").agg(F.collect_set("label").alias("own"), F.max("share").alias("share"), F.sort_array(F.collect_list(F.struct("first", "last", "label"))).alias("spans"))
     joined = scanned.drop("hits").join(per_row, "rid", "left")
     own = F.coalesce("own", F.array().cast("array<string>"))

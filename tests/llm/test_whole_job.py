@@ -6,7 +6,7 @@ import math
 import duckdb
 import pyarrow as pa
 
-from ledgerlark.llm import language, pii
+from ledgerlark.llm import language, licenses, pii
 from ledgerlark.llm.textbytes import buffers
 
 
@@ -56,3 +56,14 @@ def test_language_trees_keep_every_node(spark):
             else:
                 bits += 8
         assert math.isclose(got[i], bits, rel_tol=1e-9)
+
+
+def test_short_and_altered_license_notices(spark):
+    rows = [
+        (1, "x. Released under the MIT License. y", "mit"), (2, "Licensed under Apache License Version 2.0", "apache-2.0"), (3, "Licensed under the Mozilla Public License, Version 2.0", "mpl-2.0"),
+        (4, "licensed under the GNU General Public License, version 1", "gpl"), (5, "Licensed under the Apache License, Version 1.1", ""), (6, "under the MIT roof", ""),
+        (7, "Permission is hereby granted, free of charge, to any person getting a copy of this software and associated documentation files", "mit"),
+        (8, "Permission to use, copy, modify, and distribute this software and its documentation for any purpose and without fee is hereby granted", ""),
+    ]
+    got = {r.doc_id: r.labels for r in licenses.scan_licenses(spark.createDataFrame([r[:2] for r in rows], "doc_id bigint, text string")).collect()}
+    assert got == {i: want for i, _, want in rows}
