@@ -202,7 +202,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, weight: str = "set"
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         for side in "ab":
             pairs = pairs.join(members.select(F.col("node").alias(side), F.col("sketch").alias(f"sketch_{side}")), side)
-        close = agreeing(pairs, threshold - 0.2)
+        close = agreeing(pairs, threshold - 0.3)
         for side in "ab":
             close = close.join(bodies.select(F.col("node").alias(side), F.col("text").alias(f"text_{side}")), side)
         return verify(close, threshold)

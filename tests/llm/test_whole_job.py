@@ -6,7 +6,7 @@ import math
 import duckdb
 import pyarrow as pa
 
-from ledgerlark.llm import language, licenses, pii
+from ledgerlark.llm import language, licenses, near_duplicates, pii
 from ledgerlark.llm.textbytes import buffers
 
 
@@ -67,3 +67,10 @@ def test_short_and_altered_license_notices(spark):
     ]
     got = {r.doc_id: r.labels for r in licenses.scan_licenses(spark.createDataFrame([r[:2] for r in rows], "doc_id bigint, text string")).collect()}
     assert got == {i: want for i, _, want in rows}
+
+
+def test_near_duplicates_with_unlucky_sketches(spark):
+    """Similarity 8 of 10 and a shared bucket, but only 38 of 64 sketch bytes agree."""
+    a = [f"w40996x{i}" for i in range(13)]
+    df = spark.createDataFrame([(1, " ".join(a)), (2, " ".join([*a[:-1], "z"]))], "doc_id bigint, text string")
+    assert {r.doc_id: r.class_id for r in near_duplicates.near_duplicates(df).collect()} == {1: 1, 2: 1}
