@@ -1,21 +1,23 @@
 """Vectorised scans over the UTF-8 buffers of an Arrow text column.
 
 No Python object is made per word: words and lines are byte spans, identified by a 64-bit
-hash (a polynomial over the bytes modulo 2**64, then mixed with the length).
+hash of their bytes and length.
 """
 
 from __future__ import annotations
 
 import ctypes
+import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 
 U = np.uint64
-_P = 0x9E3779B97F4A7C15 | 1
-_PINV = pow(_P, -1, 1 << 64)
-_POWERS: list[np.ndarray] = [np.ones(1, U), np.ones(1, U)]
+_MULT = U(0x9FB21C651E98DF25)
+#: Spans of up to this many bytes are hashed eight bytes at a time, longer ones by BLAKE2b.
+LONG_SPAN = 256
+_KEEP = np.array([(1 << 8 * i) - 1 for i in range(8)] + [2**64 - 1], U)
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -35,23 +37,29 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_POWERS[0]) < n:
-        for k, base in enumerate((_P, _PINV)):
-            a = np.full(n, base, U)
-            a[0] = 1
-            _POWERS[k] = np.cumprod(a, dtype=U)
-    return _POWERS[0][:n], _POWERS[1][:n]
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int = 0) -> np.ndarray:
+    """Hash of each byte span [start, end) of data; equal bytes give equal hashes wherever they stand.
 
-
-def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hash of each byte span [start, end) of data; equal bytes give equal hashes wherever they stand."""
+    Eight bytes at a time are taken into a mixed state, so the hash is no sum over positions: words built
+    to collide under every polynomial modulo 2**64 differ here.  Another seed gives an independent hash.
+    """
     if not len(start):
         return np.zeros(0, U)
-    pw, inv = _powers(len(data))
-    total = np.zeros(len(data) + 1, U)
-    np.cumsum((data.astype(U) + U(1)) * pw, out=total[1:])
-    return mix((total[end] - total[start]) * inv[start] + (end - start).astype(U) * U(0xD6E8FEB86659FD93))
+    size = (end - start).astype(np.int64)
+    out = mix(size.astype(U) * U(0xD6E8FEB86659FD93) + U(seed * 0xD1342543DE82EF95 % 2**64))
+    padded = np.concatenate([np.ascontiguousarray(data, np.uint8), np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))  # the eight bytes from each place on
+    live, at = np.flatnonzero((size > 0) & (size <= LONG_SPAN)), 0
+    while len(live):
+        left = size[live] - at
+        chunk = eight[start[live] + at] & _KEEP[np.minimum(left, 8)]
+        out[live] = mix((out[live] ^ chunk) * _MULT + U(at + 1))
+        at += 8
+        live = live[left > 8]
+    for i in np.flatnonzero(size > LONG_SPAN):
+        told = hashlib.blake2b(padded[start[i] : end[i]], digest_size=8, salt=seed.to_bytes(8, "little"))
+        out[i] = int.from_bytes(told.digest(), "little")
+    return out
 
 
 def hash_word(word: bytes) -> np.uint64:
@@ -90,7 +98,6 @@ def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
         try:
             yield from run(batches)
         finally:
-            _POWERS[:] = [np.ones(1, U), np.ones(1, U)]
             pa.default_memory_pool().release_unused()
             try:
                 ctypes.CDLL(None).malloc_trim(0)
