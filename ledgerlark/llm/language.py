@@ -10,17 +10,19 @@ All nodes of all languages are kept, in sharded files of the shared folder that
 memory-map, so neither the driver nor a broadcast holds a tree.
 
 Defined results: null texts and texts without a letter give `und` with score 0; equal code lengths
-go to the language first in order; an empty training set gives `und` everywhere.
+go to the language first in order; an empty training set gives `und` everywhere and an empty table no
+rows; repeated rows give equal rows; a text is held whole by one worker, whatever its length; columns
+other than doc_id and text are ignored, whatever their names.  A letter is a code point of class L.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,7 +32,7 @@ from .textbytes import buffers, slices, tidy
 
 ORDERS = (3, 2, 1, 0)
 _MASK = {k: np.uint32((1 << (8 * (k + 1))) - 1) for k in ORDERS}
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 
 
 def byte_grams(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
