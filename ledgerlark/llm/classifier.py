@@ -7,7 +7,10 @@ with every labelled vector is computed in blocks, and the k nearest vote, weight
 
 Size bound: at most max_train labelled rows (those with the smallest hash of their id) of dims
 numbers each are broadcast.  Defined results: null texts count as empty; an empty training set
-scores 0; equal similarities are taken in id order; labels of a repeated id are joined by maximum.
+scores 0; similarities are compared in steps of STEP, equal ones taken in id order; labels of a repeated
+id are joined by maximum, and of its texts the first in order is learned; an empty table gives no rows;
+repeated rows give equal rows; a text is held whole by one worker, whatever its length; columns other
+than doc_id and text are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -21,9 +24,11 @@ from pyspark.sql import functions as F
 
 from .common import fold, table
 from .quality import Stats
-from .textbytes import NOT_ALNUM, U, Spans, slices, tidy
+from .textbytes import NOT_ALNUM, U, Spans, slices, sums, tidy
 
 BUCKETS, SHAPES, SHAPE_WEIGHT = 4096, 9, 3.0
+#: Similarities are compared in steps of this size.
+STEP = 1e-5
 _BANG = np.zeros(256, bool)
 _BANG[[33, 63]] = True
 
@@ -37,8 +42,6 @@ def features(texts: pa.Array) -> np.ndarray:
     counts = np.bincount(cell, minlength=n * BUCKETS).reshape(n, BUCKETS).astype(np.float32)
     words = np.maximum(s["n_words"], 1)
     letters = np.maximum(s["n_upper"] + s["n_lower"], 1)
-    from .textbytes import sums
-
     bangs = sums(_BANG[s.data], s.offsets)
     shape = np.stack([
         np.minimum(s["n_symbols"] / words, 1), s["n_upper"] / letters, s["n_repeat_words"] / words,
@@ -67,7 +70,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, max_train: int = 4000, d
     """Latent space and labelled vectors; None without labelled texts."""
     marked = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(label).alias("y"))
     chosen = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train)
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
+    texts = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
+    rows = texts.groupBy("doc_id", "y").agg(F.min("text").alias("text"))  # one row an id
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -99,8 +103,10 @@ def vote(model: dict, x: np.ndarray, k: int) -> np.ndarray:
     """Similarity-weighted share of label 1 among the k nearest labelled vectors."""
     sim = _unit(_scaled(x, model["idf"]) @ model["space"]) @ model["vectors"].T
     k = min(k, sim.shape[1])
-    near = np.argpartition(-sim, k - 1, axis=1)[:, :k]
-    w = np.maximum(np.take_along_axis(sim, near, axis=1), 0).astype(np.float64) ** 8
+    n = sim.shape[1]
+    steps = np.rint(sim.astype(np.float64) / STEP).astype(np.int64)  # beyond what the batch's shape does to the product
+    near = np.argpartition(np.arange(n) - steps * n, k - 1, axis=1)[:, :k]  # ties by id
+    w = np.maximum(np.take_along_axis(steps, near, axis=1) * STEP, 0) ** 8
     total = w.sum(axis=1)
     return np.where(total > 0, (w * model["y"][near]).sum(axis=1) / np.where(total > 0, total, 1), float(model["y"].mean()))
 
