@@ -3,11 +3,15 @@
 Every rolling word k-gram of every text is hashed; those that occur in a template are joined in
 Spark to the template positions, votes are counted per (text, template, offset diagonal),
 neighbouring diagonals are merged, and a merged span is accepted when the template words that it
-covers, compared word by word in the join, are at least min_share of the template (long_share for
-templates of LONG words or more, whose labels do not hang on a single name or number).
-
-Templates are a fixed parameter, so the join's right side is bounded.  Defined results: a null text
-is empty; a text matching nothing has empty labels and score 0; a repeated row is scanned by itself.
+covers, compared word by word in the join, are a large enough share of the template: all of them in
+short notices, whose labels may hang on a single name or number, nine tenths in opening sentences of LONG
+words or more, and four fifths in whole notices of WHOLE words or more.  The score is the best span's
+share, accepted or not (1 where a base phrase stands).
+
+Templates are a fixed parameter, so the join's right side is bounded (at most MAX_GRAMS rows).  Defined
+results: a null text is empty; a text matching nothing has empty labels and score 0; a repeated row is
+scanned by itself, so ties give equal rows; an empty table gives no rows; a text is held whole by one
+worker, whatever its length; columns other than doc_id and text are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -21,7 +25,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import materialise, table
-from .textbytes import LOWER, NOT_ALNUM, Spans, buffers, grams, hash_word, slices, tidy
+from .textbytes import LOWER, NOT_ALNUM, Spans, U, buffers, grams, hash_word, slices, tidy
 
 #: Phrases and labels of the base scan (fixed values).
 BASE_PHRASES = (
@@ -56,7 +60,18 @@ NOTICES = (
     ("mpl-2.0", "Mozilla Public License 2.0"),
     ("isc", "under the ISC License"),
 )
-LONG = 18
+#: Whole public licence notices (fixed values).
+WHOLE_NOTICES = (
+    ("mit", """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."""),
+    ("isc", """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS."""),
+    ("apache-2.0", """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."""),
+    ("bsd", """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."""),
+    ("mpl-2.0", """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."""),
+    ("gpl-any", """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details."""),
+    ("unlicense", """This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."""),
+    ("zlib", """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions"""),
+)
+LONG, WHOLE, MAX_GRAMS = 18, 30, 100_000
 
 
 def _words(text: str) -> list[bytes]:
@@ -66,15 +81,22 @@ def _words(text: str) -> list[bytes]:
     return [low[i:j] for i, j in zip(s.start, s.end)]
 
 
-def template_positions(spark: SparkSession, templates: dict[str, str], notices, k: int) -> tuple[DataFrame, np.ndarray]:
-    rows, hashes = [], []
+def template_rows(templates: dict[str, str], notices, k: int, shares: tuple[float, float, float]) -> list[tuple]:
+    """(template, label, at, words in the template, least share, the k words at `at`) of every place in every template."""
+    rows = []
     for t, (label, text) in enumerate([*sorted(templates.items()), *notices]):
-        ws = _words(text)
-        g, at = grams(np.array([hash_word(w) for w in ws]), np.array([0, len(ws)]), k)
-        hashes += [np.sort(g)]
-        rows += [(int(h.astype(np.int64)), t, label, int(i), len(ws), b" ".join(ws[i : i + k]).decode()) for h, i in zip(g, at)]
-    df = spark.createDataFrame(rows, "gram bigint, template int, label string, at int, t_words int, t_text string")
-    return df, np.unique(np.concatenate(hashes))
+        ws = [w.decode() for w in _words(text)]
+        least = shares[0 if len(ws) < LONG else 1 if len(ws) < WHOLE else 2]
+        rows += [(t, label, i, len(ws), least, " ".join(ws[i : i + k])) for i in range(len(ws) - k + 1)]
+    if len(rows) > MAX_GRAMS:
+        raise ValueError(f"templates of at most {MAX_GRAMS} k-grams")
+    return rows
+
+
+def template_positions(spark: SparkSession, rows: list[tuple], k: int) -> tuple[DataFrame, np.ndarray]:
+    hashes = [grams(np.array([hash_word(w.encode()) for w in r[5].split()]), np.array([0, k]), k)[0][0] for r in rows]
+    df = spark.createDataFrame([(int(h.astype(np.int64)), *r) for h, r in zip(hashes, rows)], "gram bigint, template int, label string, at int, t_words int, least double, t_text string")
+    return df, np.unique(np.array(hashes, U))
 
 
 def base_hits(words: Spans, phrases) -> tuple[np.ndarray, np.ndarray]:
@@ -133,28 +155,32 @@ def scan_words(docs: DataFrame, gram_set: np.ndarray, phrases, k: int) -> DataFr
     return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(tidy(run), schema)
 
 
-def license_spans(scanned: DataFrame, templates: DataFrame, k: int, slack: int, min_share: float, long_share: float) -> DataFrame:
-    """(rid, label, first, last, share): verified spans; votes per diagonal, neighbours within slack merged."""
+def license_spans(scanned: DataFrame, templates: DataFrame, k: int, slack: int) -> DataFrame:
+    """(rid, label, first, last, share, good): merged spans; votes per diagonal, neighbours within slack merged."""
     hits = scanned.where(F.size("hits") > 0).select("rid", F.explode("hits").alias("h")).select("rid", "h.*")
     votes = hits.join(F.broadcast(templates), "gram").where(F.col("words") == F.col("t_text"))
-    diagonals = votes.groupBy("rid", "template", "label", "t_words", (F.col("pos") - F.col("at")).alias("diagonal")).agg(
+    diagonals = votes.groupBy("rid", "template", "label", "t_words", "least", (F.col("pos") - F.col("at")).alias("diagonal")).agg(
         F.collect_set("at").alias("ats"), F.min("pos").alias("first"), (F.max("pos") + k - 1).alias("last")
     )
     by = W.partitionBy("rid", "template").orderBy("diagonal")
     new = (F.col("diagonal") - F.lag("diagonal").over(by) > slack).cast("int")
     merged = diagonals.withColumn("new", F.coalesce(new, F.lit(1))).withColumn("run", F.sum("new").over(by))
-    spans = merged.groupBy("rid", "template", "label", "t_words", "run").agg(F.array_distinct(F.flatten(F.collect_list("ats"))).alias("ats"), F.min("first").alias("first"), F.max("last").alias("last"))
+    spans = merged.groupBy("rid", "template", "label", "t_words", "least", "run").agg(F.array_distinct(F.flatten(F.collect_list("ats"))).alias("ats"), F.min("first").alias("first"), F.max("last").alias("last"))
     covered = F.size(F.array_distinct(F.flatten(F.transform("ats", lambda a: F.sequence(a, a + (k - 1))))))
-    least = F.when(F.col("t_words") >= LONG, long_share).otherwise(min_share)
-    return spans.withColumn("share", covered / F.col("t_words")).where(F.col("share") >= least).select("rid", "label", "first", "last", "share")
+    return spans.withColumn("share", covered / F.col("t_words")).select("rid", "label", "first", "last", "share", (F.col("share") >= F.col("least")).alias("good"))
+
 
+#: Shares that short notices, opening sentences and whole notices need; words in a gram; words that may be inserted or lost between diagonals.
+SHARES, K, SLACK = (0.99, 0.9, 0.8), 3, 3
 
-def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, phrases=BASE_PHRASES, k: int = 3, slack: int = 3, min_share: float = 0.99, notices=NOTICES, long_share: float = 0.9) -> DataFrame:
+
+def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, phrases=BASE_PHRASES, k: int = K, slack: int = SLACK, notices=NOTICES + WHOLE_NOTICES, shares: tuple[float, float, float] = SHARES) -> DataFrame:
     """One row per input row: base places and labels, and the labels of verified template spans."""
-    positions, gram_set = template_positions(docs.sparkSession, templates, notices, k)
+    positions, gram_set = template_positions(docs.sparkSession, template_rows(templates, notices, k, shares), k)
     scanned = materialise(scan_words(docs, gram_set, phrases, k).withColumn("rid", F.monotonically_increasing_id()), "license-scan")
-    spans = license_spans(scanned, positions, k, slack, min_share, long_share)
-    per_row = spans.groupBy("rid").agg(F.collect_set("label").alias("own"), F.max("share").alias("share"), F.sort_array(F.collect_list(F.struct("first", "last", "label"))).alias("spans"))
+    spans = license_spans(scanned, positions, k, slack)
+    accepted = F.sort_array(F.collect_list(F.when(F.col("good"), F.struct("first", "last", "label"))))
+    per_row = spans.groupBy("rid").agg(F.collect_set(F.when(F.col("good"), F.col("label"))).alias("own"), F.max("share").alias("share"), accepted.alias("spans"))
     joined = scanned.drop("hits").join(per_row, "rid", "left")
     own = F.coalesce("own", F.array().cast("array<string>"))
     return joined.select(
@@ -167,3 +193,37 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, phrase
 
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents")).drop("spans")
+
+
+def _sql(source: str = "documents") -> str:
+    """op7 in DuckDB SQL, from the words themselves."""
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    rows = template_rows(TEMPLATES, NOTICES + WHOLE_NOTICES, K, SHARES)
+    positions = ", ".join(f"({t}, {quoted(label)}, {at}, {n}, {least}, {quoted(text)})" for t, label, at, n, least, text in rows)
+    low = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    gram = " || ' ' || ".join(f"ws[i + {j}]" if j else "ws[i]" for j in range(K))
+    phrases = " UNION ALL ".join(
+        f"SELECT rid, i - 1 AS pos, {quoted(label)} AS label FROM (SELECT rid, ws, unnest(range(1, len(ws) - {len(p.split()) - 2})) AS i FROM w WHERE len(ws) >= {len(p.split())}) WHERE "
+        + " AND ".join(f"ws[i + {j}] = {quoted(x)}" for j, x in enumerate(p.split()))
+        for p, label in BASE_PHRASES
+    )
+    return f"""
+WITH w AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({low}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM {source}),
+t(template, label, place, t_words, least, gram) AS (VALUES {positions}),
+b AS ({phrases}),
+bs AS (SELECT rid, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM b GROUP BY rid),
+g AS (SELECT rid, i - 1 AS pos, {gram} AS gram FROM (SELECT rid, ws, unnest(range(1, len(ws) - {K - 2})) AS i FROM w WHERE len(ws) >= {K})),
+v AS (SELECT DISTINCT rid, template, label, t_words, least, pos - place AS diagonal, place FROM g JOIN t ON g.gram = t.gram),
+o AS (SELECT DISTINCT rid, template, diagonal FROM v),
+n AS (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER x <= {SLACK} THEN 0 ELSE 1 END AS new FROM o WINDOW x AS (PARTITION BY rid, template ORDER BY diagonal)),
+r AS (SELECT rid, template, diagonal, sum(new) OVER (PARTITION BY rid, template ORDER BY diagonal) AS run FROM n),
+c AS (SELECT rid, template, label, t_words, least, run, count(DISTINCT p) / t_words::DOUBLE AS share
+      FROM (SELECT v.*, run, unnest(range(place, place + {K})) AS p FROM v JOIN r USING (rid, template, diagonal)) GROUP BY ALL),
+s AS (SELECT rid, max(share) AS share FROM c GROUP BY rid),
+l AS (SELECT rid, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT rid, label FROM c WHERE share >= least UNION ALL SELECT rid, label FROM b) GROUP BY rid)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+  CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(share, 0.0::DOUBLE) END AS score
+FROM w LEFT JOIN bs USING (rid) LEFT JOIN s USING (rid) LEFT JOIN l USING (rid)"""
+
+
+OP7_SQL = _sql()

@@ -6,7 +6,7 @@ from .bpe import op4_bpe
 from .classifier import op9_quality_classifier
 from .decontaminate import OP3_SQL, op3_decontamination
 from .language import op2_language_id
-from .licenses import op7_license_scan
+from .licenses import OP7_SQL, op7_license_scan
 from .lm import op10_lm_score
 from .near_duplicates import op6_near_duplicates
 from .pii import OP8_SQL, op8_pii
@@ -29,5 +29,6 @@ ORACLE_SQL = {
     "op1_url_filter": OP1_SQL,
     "op3_decontamination": OP3_SQL,
     "op5_quality_rules": OP5_SQL,
+    "op7_license_scan": OP7_SQL,
     "op8_pii": OP8_SQL,
 }

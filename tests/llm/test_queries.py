@@ -19,7 +19,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", ["op1_url_filter", "op3_decontamination", "op5_quality_rules", "op8_pii"])
+@pytest.mark.parametrize("name", ["op1_url_filter", "op3_decontamination", "op5_quality_rules", "op7_license_scan", "op8_pii"])
 def test_against_sql(spark, duck, name):
     from ledgerlark.llm.registry import ORACLE_SQL, QUERIES
 
