@@ -10,7 +10,8 @@ Before a join, hashes are tested against a bitmap of fixed size that holds the b
 only spares work (a fuller bitmap lets more through), the joins decide.
 
 Defined results: null and empty texts have no words and are clean; rows are judged one by one, so
-repeats give equal rows; item ids that are null are ignored; an empty benchmark finds nothing.
+repeats give equal rows; the windows of items without an id hit words but name no item; an empty
+benchmark finds nothing.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, maybe_broadcast, table
+from .common import Scratch, maybe_broadcast, table
 
 WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 _UP, _LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -110,34 +111,38 @@ def _in_bitmap(bits: Column, h: Column) -> Column:
 
 
 def windows_of(benchmark: DataFrame, span: int) -> DataFrame:
-    """(length, ws, items): every distinct window and the sorted ids of the items that hold it."""
-    items = benchmark.where(F.col("item_id").isNotNull()).select(F.col("item_id").cast("string").alias("item"), words(F.col("text")).alias("w")).where(F.size("w") > 0)
+    """(item, length, ws): every window of every item; its id may be null."""
+    items = benchmark.select(F.col("item_id").cast("string").alias("item"), words(F.col("text")).alias("w")).where(F.size("w") > 0)
     length = F.least(F.size("w"), F.lit(span))
-    each = items.withColumn("length", length).select("item", "length", F.explode(F.transform(F.sequence(F.lit(1), F.size("w") - F.col("length") + 1), lambda i: F.slice("w", i, F.col("length")))).alias("ws"))
-    return each.groupBy("length", "ws").agg(F.sort_array(F.collect_set("item")).alias("items"))
+    return items.withColumn("length", length).select("item", "length", F.explode(F.transform(F.sequence(F.lit(1), F.size("w") - F.col("length") + 1), lambda i: F.slice("w", i, F.col("length")))).alias("ws")).distinct()
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, span: int = 13, k: int = 8, share: int = 20, broadcast_rows: int = 200_000) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, span: int = 13, k: int = 8, share: int = 20, scratch: Scratch | None = None) -> DataFrame:
     """Per input row: doc_id, n_words, n_hit, n_items, items (sorted ids), contaminated."""
-    found = materialise(windows_of(benchmark, span).withColumn("wh", F.transform("ws", lambda w: F.xxhash64(w))), "windows")
+    scratch = scratch or Scratch(docs.sparkSession)
+    each = scratch.keep(windows_of(benchmark, span), "item-windows")
+    numbered = each.select("length", "ws").distinct().withColumn("window", F.monotonically_increasing_id())
+    found = scratch.keep(numbered.withColumn("wh", F.transform("ws", lambda w: F.xxhash64(w))), "windows")
+    holders = scratch.keep(each.where(F.col("item").isNotNull()).join(found.select("length", "ws", "window"), ["length", "ws"]).select("window", "item"), "window-items")
+    scratch.free(each)
     windows = found.where(F.col("length") == span)
     lengths = sorted(r[0] for r in found.select("length").distinct().collect())
-    n_windows = found.limit(broadcast_rows + 1).count()
 
     # fingerprints of the benchmark: the windows' minimal k-grams, and the short items whole
     prints = [gram_hashes(windows, "wh", k, "g").select(F.array_min("g").alias("h"))]
     wide = []
     for n in lengths:
-        wide.append(gram_hashes(found.where(F.col("length") == n), "wh", n, "g").select("length", "ws", "items", F.element_at("g", 1).alias("h")))
+        wide.append(gram_hashes(found.where(F.col("length") == n), "wh", n, "g").select("length", "ws", "window", F.element_at("g", 1).alias("h")))
     short = [w.select("h") for w, n in zip(wide, lengths) if n < span]
-    whole = wide[0] if wide else found.select("length", "ws", "items", F.lit(0).cast("bigint").alias("h")).limit(0)
+    whole = wide[0] if wide else found.select("length", "ws", "window", F.lit(0).cast("bigint").alias("h")).limit(0)
     for w in wide[1:]:
         whole = whole.union(w)
-    whole = materialise(whole, "window-hashes")
+    whole = scratch.keep(whole, "window-hashes")
     marks = prints[0]
     for s in short:
         marks = marks.union(s)
-    marks = materialise(marks.distinct(), "fingerprints")
+    marks = scratch.keep(marks.distinct(), "fingerprints")
+    scratch.free(found)
     mark_bits, whole_bits = bitmap(marks, "h"), bitmap(whole, "h")
 
     # first pass: winnowed fingerprints of every document
@@ -152,13 +157,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, span: int = 13, k: int
     may = F.array_distinct(F.concat(*[F.filter(t, lambda h: _in_bitmap(mark_bits, h)) for t in tested]))
     tried = hashed.select("doc_id", "key", "text", F.size("wh").cast("bigint").alias("n_words"), may.alias("may"))
     kept_text = F.when(F.size("may") > 0, F.col("text")).alias("text")
-    first = materialise(tried.select("doc_id", "key", "n_words", "may", kept_text), "fingerprinted")
-    matched = first.where(F.size("may") > 0).select("doc_id", "key", F.explode("may").alias("h")).join(maybe_broadcast(marks, broadcast_rows), "h", "left_semi").select("doc_id", "key").distinct()
-    matched = materialise(matched, "matched")
+    first = scratch.keep(tried.select("doc_id", "key", "n_words", "may", kept_text), "fingerprinted")
+    matched = first.where(F.size("may") > 0).select("doc_id", "key", F.explode("may").alias("h")).join(maybe_broadcast(marks), "h", "left_semi").select("doc_id", "key").distinct()
+    matched = scratch.keep(matched, "matched")
+    scratch.free(marks)
 
     # second pass: extend the hits of matched documents to whole windows
     same = F.col("b.doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("b.key") == F.col("m.key"))
-    bodies = first.where(F.size("may") > 0).alias("b").join(maybe_broadcast(matched, broadcast_rows).alias("m"), same, "left_semi").dropDuplicates(["doc_id", "key"])
+    bodies = first.where(F.size("may") > 0).alias("b").join(maybe_broadcast(matched).alias("m"), same, "left_semi").dropDuplicates(["doc_id", "key"])
     again = bodies.select("doc_id", "key", words(F.col("text")).alias("w"))
     again = again.withColumn("wh", F.transform("w", lambda x: F.xxhash64(x)))
     starts = []
@@ -169,28 +175,33 @@ def contamination(docs: DataFrame, benchmark: DataFrame, span: int = 13, k: int
     none = F.array().cast("array<struct<h: bigint, at: int, n: int>>")
     spans = F.transform(F.concat(*starts) if starts else none, lambda x: F.struct(x["h"].alias("h"), x["at"].alias("at"), F.slice("w", x["at"], x["n"]).alias("ws")))
     spots = again.select("doc_id", "key", F.explode(spans).alias("s")).select("doc_id", "key", "s.*")
-    target = whole if n_windows > broadcast_rows else F.broadcast(whole)
-    hits = spots.join(target.withColumnRenamed("ws", "bench"), "h").where(F.col("ws") == F.col("bench"))
-    per = hits.groupBy("doc_id", "key").agg(
-        F.sort_array(F.collect_set(F.struct("at", "length"))).alias("at"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
-    )
+    same = spots.join(maybe_broadcast(whole.withColumnRenamed("ws", "bench")), "h").where(F.col("ws") == F.col("bench"))
+    hits = scratch.keep(same.select("doc_id", "key", "at", "length", "window").distinct(), "hits")
+    scratch.free(whole, matched)
+    places = hits.groupBy("doc_id", "key").agg(F.sort_array(F.collect_set(F.struct("at", "length"))).alias("at"))
     zero = F.struct(F.lit(0).alias("hit"), F.lit(0).alias("end"))
     covered = F.aggregate("at", zero, lambda a, s: F.struct((a["hit"] + F.greatest(F.lit(0), s["at"] + s["length"] - F.greatest(s["at"], a["end"]))).alias("hit"), F.greatest(a["end"], s["at"] + s["length"]).alias("end")))["hit"]
-    per = per.select("doc_id", "key", covered.cast("bigint").alias("n_hit"), "items")
+    held = hits.select("doc_id", "key", "window").distinct().join(maybe_broadcast(holders), "window")
+    named = held.select("doc_id", "key", "item").distinct().groupBy("doc_id", "key").agg(F.sort_array(F.collect_list("item")).alias("items"))
+    same = F.col("p.doc_id").eqNullSafe(F.col("n.doc_id")) & (F.col("p.key") == F.col("n.key"))
+    per = scratch.keep(places.alias("p").join(named.alias("n"), same, "left").select("p.doc_id", "p.key", covered.cast("bigint").alias("n_hit"), "items"), "contaminations")
+    scratch.free(hits, holders)
     same = F.col("f.doc_id").eqNullSafe(F.col("p.doc_id")) & (F.col("f.key") == F.col("p.key"))
-    out = first.drop("text", "may").alias("f").join(per.alias("p"), same, "left").select("f.doc_id", "f.key", "n_words", F.coalesce("n_hit", F.lit(0).cast("bigint")).alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+    out = first.drop("text", "may").alias("f").join(maybe_broadcast(per).alias("p"), same, "left").select("f.doc_id", "f.key", "n_words", F.coalesce("n_hit", F.lit(0).cast("bigint")).alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
     bad = (F.col("n_hit") > 0) & (F.col("n_hit") * share >= F.col("n_words"))
     return out.select("doc_id", "key", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"), "items", bad.alias("contaminated"))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **params) -> DataFrame:
     """The rows of docs that are not contaminated, all columns unchanged."""
-    bad = contamination(docs, benchmark, **params).where("contaminated").select(F.col("doc_id").alias("__id"), F.col("key").alias("__bad")).distinct()
-    bad = maybe_broadcast(materialise(bad, "contaminated"), 500_000)
-    marked = docs.withColumn("__key", F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")))
-    same = marked["doc_id"].eqNullSafe(bad["__id"]) & (marked["__key"] == bad["__bad"])
-    return marked.join(bad, same, "left_anti").drop("__key")
+    scratch = Scratch(docs.sparkSession)
+    bad = contamination(docs, benchmark, scratch=scratch, **params).where("contaminated").select(F.col("doc_id").alias("__of_id"), F.col("key").alias("__of_key")).distinct()
+    bad = scratch.keep(bad, "contaminated")
+    scratch.free_all_but(bad)
+    key = F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("id"), key.alias("key"))
+    same = F.col("id").eqNullSafe(F.col("__of_id")) & (F.col("key") == F.col("__of_key"))
+    return rows.join(maybe_broadcast(bad), same, "left_anti").select("row.*")
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

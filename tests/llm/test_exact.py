@@ -148,10 +148,10 @@ def test_signature_estimates_weighted_similarity():
     b = a[:500] + [f"v{i}" for i in range(100)]
     data, offsets = buffers(pa.array([" ".join(a), " ".join(b)]))
     for weight in ("set", "count"):
-        h, ptr = near_duplicates.elements(*near_duplicates.shingles(data, offsets), weight)
-        x, y = collections.Counter(h[: ptr[1]].tolist()), collections.Counter(h[ptr[1] :].tolist())
+        h, ptr, w = near_duplicates.elements(*near_duplicates.shingles(data, offsets), weight)
+        x, y = (collections.Counter(dict(zip(h[i:j].tolist(), w[i:j].tolist()))) for i, j in zip(ptr[:-1], ptr[1:]))
         true = sum((x & y).values()) / sum((x | y).values())
-        sig = near_duplicates.signatures(h, ptr, 1024)
+        sig = near_duplicates.signatures(h, ptr, w, 1024)
         assert abs((sig[0] == sig[1]).mean() - true) < 0.06
 
 
@@ -183,11 +183,10 @@ def test_language_model(spark, docs, texts):
     total, v = sum(one.values()), len(one)
     mass = collections.Counter()
     for (c, _), n in two.items():
-        if n >= 2:
-            mass[c] += (n - 0.75) / one[c]
+        mass[c] += (n - 0.75) / one[c]
     for i, ws in tokens.items():
         p1 = [(one[w] + 0.5) / (total + 0.5 * (v + 1)) for w in ws]
-        full = [((two[c, w] - 0.75) / one[c] if two[c, w] >= 2 else 0) + (1 - mass[c]) * p if one[c] else p for c, w, p in zip([None, *ws[:-1]], ws, p1)]
+        full = [((two[c, w] - 0.75) / one[c] if two[c, w] else 0) + (1 - mass[c]) * p if one[c] else p for c, w, p in zip([None, *ws[:-1]], ws, p1)]
         assert (got[i].n_tokens, got[i].n_known, got[i].train_tokens) == (len(ws), sum(one[w] > 0 for w in ws), total)
         assert math.isclose(got[i].base_score, sum(map(math.log10, p1)), rel_tol=1e-12)
         assert abs(got[i].score - sum(map(math.log10, full))) < 0.02 * len(ws)
@@ -198,3 +197,23 @@ def test_url_templates_reject_by_purity(spark):
     got = {r.page_id: (r.rule, r.verdict) for r in urls.filter_urls(spark.createDataFrame(rows, "page_id bigint, url string")).collect()}
     assert all(got[i][1] == "allow" and got[i][0] is None for i in range(100, 130))
     assert all(got[i] == ("com/en/", "block") for i in range(1, 60, 2) if not str(i).startswith("7"))
+
+
+def test_url_templates_hand_their_labels_to_like_siblings(spark):
+    """Rules judge /en/ alone; /de/ has the same structure and is merged with it, /shop/ has another."""
+    rows = [(i, f"http://h.example.com/en/{1000 + i}.html") for i in range(80)] + [(100 + i, f"http://h.example.com/de/{2000 + i}.html") for i in range(40)]
+    rows += [(200 + i, f"http://h.example.com/shop/item-{'abcdefghij'[i % 10]}/{i}") for i in range(30)] + [(300 + i, f"http://h.example.com/fr/{i}.html") for i in range(5)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string")
+    got = {r.page_id: r for r in urls.filter_urls(df).collect()}
+    assert all((got[i].rule, got[i].verdict, got[i].template) == ("com/en/", "block", "/+/*") for i in range(80))
+    assert all((got[i].rule, got[i].verdict, got[i].template) == (None, "block", "/+/*") for i in range(100, 140))
+    assert all(got[i].verdict == "allow" for i in [*range(200, 230), *range(300, 305)])
+    assert {r.page_id: r.verdict for r in urls.filter_urls(df, with_template=False).collect()} == {i: r.verdict for i, r in got.items()}
+
+
+def test_url_templates_of_deep_paths(spark):
+    """Segments that vary only deep down still become wildcards there."""
+    deep = "/".join(f"s{i}" for i in range(12))
+    rows = [(i, f"http://d.example.org/{deep}/{i}/end") for i in range(60)]
+    got = urls.filter_urls(spark.createDataFrame(rows, "page_id bigint, url string")).select("template").distinct().collect()
+    assert [r.template for r in got] == [f"/{deep}/*/end"]
