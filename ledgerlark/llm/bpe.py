@@ -3,13 +3,17 @@
 Texts are split into words by the tokenizer's pattern; each task reports the distinct words that it
 sees, Spark makes them distinct over the corpus, and each is encoded once by the tokenizer.  The
 (word, ids) table lies in the shared folder, ordered by word hash and memory-mapped; ids join back to
-every position by lookup of the word there.  Decoding joins each id to its piece's bytes.
+every position by lookup of the word there.  Decoding joins each id to its piece's bytes; the
+vocabulary is fixed and small, so that side of the join is broadcast.
 
 The lookup join moves no text: a shuffled join of every (text, position, word) would write over three
-times the input.  Two words with one hash stop the build with an error.
+times the input.  Words are told apart by two independent 64-bit hashes; words that share the first are
+found by the second.
 
-Defined results: a null text is encoded as the empty text, to no ids; repeated rows give equal rows;
-bytes that are no UTF-8 after decoding become U+FFFD, as the library does.
+Defined results: a null text is encoded as the empty text, to no ids; an empty table gives no rows;
+repeated rows give equal rows, null ids too; texts and words may be of any length (a text is held whole
+by one worker); columns other than doc_id and text are ignored, whatever their names; bytes that are no
+UTF-8 after decoding become U+FFFD, as the library does.
 """
 
 from __future__ import annotations
@@ -25,14 +29,15 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, table
+from .common import Scratch, table
 from .sharedtable import SharedTable, build, open_arrays
-from .textbytes import buffers, slices, span_hashes, tidy
+from .textbytes import buffers, mix, slices, span_hashes, tidy
 
 #: The public byte-level BPE pattern (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _WORD = regex.compile(PATTERN)
 NARROW = 0x250
+SEEDS = (0, 1)
 
 
 def _narrow_pattern() -> re.Pattern:
@@ -115,7 +120,7 @@ def split_words(data: np.ndarray, offsets: np.ndarray, added: list[str]) -> tupl
 
 
 def distinct_words(docs: DataFrame, added: list[str], flush: int = 400_000) -> DataFrame:
-    """(key, word): all distinct words of the texts, as bytes, with their hashes."""
+    """(key, key2, word): all distinct words of the texts, as bytes, with their hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[str] = set()
@@ -133,15 +138,16 @@ def distinct_words(docs: DataFrame, added: list[str], flush: int = 400_000) -> D
                 words = [w.encode() for w in fresh]
                 end = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
                 start = np.concatenate([[0], end])[:-1]
-                keys = span_hashes(np.frombuffer(b"".join(words), np.uint8), start.astype(np.int64), end)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(words, pa.binary())], names=["key", "word"])
+                data, start = np.frombuffer(b"".join(words), np.uint8), start.astype(np.int64)
+                keys = [pa.array(span_hashes(data, start, end, seed).view(np.int64)) for seed in SEEDS]
+                yield pa.RecordBatch.from_arrays([*keys, pa.array(words, pa.binary())], names=["key", "key2", "word"])
 
     text = docs.select(F.col("text").cast("string").alias("text"))
-    return text.mapInArrow(tidy(run), "key bigint, word binary").distinct()
+    return text.mapInArrow(tidy(run), "key bigint, key2 bigint, word binary").distinct()
 
 
 def word_table(words: DataFrame, path: str) -> SharedTable:
-    """Every distinct word encoded once; arrays key, at (offsets into ids), ids."""
+    """Every distinct word encoded once; arrays key, key2, at (offsets into ids), ids."""
 
     def encode(t: pa.Table) -> tuple[dict[str, np.ndarray], dict]:
         from tokenizers import Tokenizer
@@ -150,28 +156,33 @@ def word_table(words: DataFrame, path: str) -> SharedTable:
         tok.no_truncation()
         tok.no_padding()
         key = t["key"].to_numpy()
-        if (key[1:] == key[:-1]).any():
-            raise ValueError("two words share a hash")
         ids, at = [], [np.zeros(1, np.int64)]
         for i in range(0, len(key), 2_000):
             got = [e.ids for e in tok.encode_batch([w.decode("utf-8", "replace") for w in t["word"].slice(i, 2_000).to_pylist()], add_special_tokens=False)]
             ids.append(np.fromiter((x for e in got for x in e), np.uint32))
             at.append(np.fromiter(map(len, got), np.int64, len(got)))
-        return {"key": key, "at": np.cumsum(np.concatenate(at)), "ids": np.concatenate(ids)}, {}
+        return {"key": key, "key2": t["key2"].to_numpy(), "at": np.cumsum(np.concatenate(at)), "ids": np.concatenate(ids)}, {}
 
     return build(words, "key", words.count(), encode, "word-ids", shard_rows=300_000)
 
 
-def lookup(words: SharedTable, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(flat ids, offsets) of each key, which must be in the table."""
+def lookup(words: SharedTable, keys: np.ndarray, keys2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(flat ids, offsets) of each word, given by its two hashes, which must be in the table."""
     found: list[np.ndarray] = []
     where, size = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
     base = 0
     for s, own in words.each(keys):
         a = open_arrays(words.files[s])
         at = np.searchsorted(a["key"], keys[own])
-        if (a["key"][np.minimum(at, len(a["key"]) - 1)] != keys[own]).any():
-            raise ValueError("a word is missing from the table")
+        other = np.arange(len(own))
+        while True:
+            at[other] = np.minimum(at[other], len(a["key"]) - 1)
+            other = other[a["key2"][at[other]] != keys2[own[other]]]
+            if not len(other):
+                break
+            at[other] += 1  # words with the same first hash stand side by side
+            if (at[other] >= len(a["key"])).any() or (a["key"][at[other]] != keys[own[other]]).any():
+                raise ValueError("a word is missing from the table")
         begin, end = a["at"][at], a["at"][at + 1]
         flat = gather(a["ids"], begin, end - begin)
         size[own] = end - begin
@@ -194,7 +205,10 @@ def encode(docs: DataFrame, path: str | None = None, ids_as_list: bool = True) -
     """(doc_id, ids): token ids of every row, as a list, or as little-endian 32-bit integers."""
     path = path or tokenizer_path()
     added = added_tokens(path)
-    words = word_table(materialise(distinct_words(docs, added), "words"), path)
+    scratch = Scratch(docs.sparkSession)
+    told = scratch.keep(distinct_words(docs, added), "words")
+    words = word_table(told, path)
+    scratch.free(told)
     sent = docs.sparkSession.sparkContext.broadcast(words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,8 +216,11 @@ def encode(docs: DataFrame, path: str | None = None, ids_as_list: bool = True) -
             for part in slices(batch, "text", 2 << 20):
                 data, offsets = buffers(part.column("text"))
                 start, end, ptr = split_words(data, offsets, added)
-                code, uniq = pd.factorize(span_hashes(data, start, end))
-                flat, (where, size) = lookup(sent.value, uniq.view(np.int64))
+                keys, keys2 = (span_hashes(data, start, end, seed) for seed in SEEDS)
+                code, uniq = pd.factorize(keys ^ mix(keys2))
+                first = np.zeros(len(uniq), np.int64)
+                first[code[::-1]] = np.arange(len(code))[::-1]
+                flat, (where, size) = lookup(sent.value, keys[first].view(np.int64), keys2[first].view(np.int64))
                 n = size[code] if len(code) else np.zeros(0, np.int64)
                 ids = gather(flat, where[code] if len(code) else n, n).astype("<u4")
                 at = np.concatenate([[0], np.cumsum(n)])[ptr]
