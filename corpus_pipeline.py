@@ -2,7 +2,8 @@
 
 A stage takes (spark, docs, sf_dir), works on every row that the stage before it has kept, and returns
 a DataFrame with the columns of documents; the last returns token ids.  run() writes each stage's result
-as Parquet into the shared folder and reads it again for the next.
+as Parquet into the shared folder and reads it again for the next; a stage's own intermediate tables and
+the result of the stage before it are deleted as soon as nothing reads them.
 
 Empty tables and null columns pass through: null texts are rejected by the quality rules, null ids stay
 distinct documents by their text.
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlark.llm import bpe, decontaminate, near_duplicates, pii, quality
-from ledgerlark.llm.common import materialise, table
+from ledgerlark.llm.common import Scratch, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,12 +54,15 @@ STAGES = [
     ("BPE encoding and decoding", tokens),
 ]
 
-#: BPE has no SQL form; tests/llm/test_pipeline.py holds run() against a brute-force version.
+#: BPE has no SQL form; tests/llm/test_queries.py holds run() against a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch = Scratch(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        kept = scratch.keep(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        scratch.free(docs)
+        docs = kept
     return STAGES[-1][1](spark, docs, sf_dir)
