@@ -218,7 +218,7 @@ o AS (SELECT DISTINCT rid, template, diagonal FROM v),
 n AS (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER x <= {SLACK} THEN 0 ELSE 1 END AS new FROM o WINDOW x AS (PARTITION BY rid, template ORDER BY diagonal)),
 r AS (SELECT rid, template, diagonal, sum(new) OVER (PARTITION BY rid, template ORDER BY diagonal) AS run FROM n),
 c AS (SELECT rid, template, label, t_words, least, run, count(DISTINCT p) / t_words::DOUBLE AS share
-      FROM (SELECT v.*, run, unnest(range(place, place + {K})) AS p FROM v JOIN r USING (rid, template, diagonal)) GROUP BY ALL),
+      FROM (SELECT v.*, run, unnest(range(place, place + {K})) AS p FROM v JOIN r USING (rid, template, diagonal)) GROUP BY rid, template, label, t_words, least, run),
 s AS (SELECT rid, max(share) AS share FROM c GROUP BY rid),
 l AS (SELECT rid, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT rid, label FROM c WHERE share >= least UNION ALL SELECT rid, label FROM b) GROUP BY rid)
 SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
