@@ -9,9 +9,8 @@ context's pointers, then by successor search relative to that context.  Shards a
 word), so a very common context spreads over several.
 
 Smoothing is absolute discounting: p(w|c) = max(n - d, 0) / n(c) + bow(c) p(w), and p(w) = (n + 0.5) /
-(N + 0.5 (V + 1)), in which an unknown word has n = 0.  Pairs seen fewer than `least` times are left to
-the back-off (a bigram's tokens are at least as frequent as it, so tokens below `least` are passed over
-in counting pairs, which loses nothing).  The text end serves as the first token's context.
+(N + 0.5 (V + 1)), in which an unknown word has n = 0.  All pairs of the training texts are kept, also
+those seen once.  The text end serves as the first token's context.
 
 Defined results: a null text is empty and has only its end; an empty training set gives every token
 p = 1 (one unknown word); repeated rows give equal rows.
@@ -105,7 +104,7 @@ def _quantise(p: np.ndarray) -> np.ndarray:
     return np.clip(np.rint(-np.log10(np.maximum(p, 1e-300)) * STEP), 0, 255).astype(np.uint8)
 
 
-def fit(train: DataFrame, least: int = 2, flush: int = 1_500_000) -> tuple[Unigrams, SharedTable, SharedTable]:
+def fit(train: DataFrame, flush: int = 1_500_000) -> tuple[Unigrams, SharedTable, SharedTable]:
     sc = train.sparkSession.sparkContext
     counts = materialise(_counted(train, lambda d, o: tokens(d, o)[0], flush), "token-counts")
 
@@ -119,13 +118,11 @@ def fit(train: DataFrame, least: int = 2, flush: int = 1_500_000) -> tuple[Unigr
     def pairs(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         keys, _ = tokens(data, offsets)
         code, uniq = pd.factorize(keys)
-        ids, n = sent.value.find(uniq)
-        word, often = ids[code], (n >= least)[code]
-        end = sent.value.find(np.array([END]))[0][0]
-        before, fine = np.concatenate([[end], word[:-1]]), np.concatenate([[True], often[:-1]])
-        return (before * v + word)[often & fine]
+        word = sent.value.find(uniq)[0][code]
+        before = np.concatenate([sent.value.find(np.array([END]))[0], word[:-1]])
+        return before * v + word
 
-    bigrams = materialise(_counted(train, pairs, flush).where(F.col("n") >= least), "bigrams")
+    bigrams = materialise(_counted(train, pairs, flush), "bigrams")
 
     by_context = bigrams.groupBy(F.expr(f"key div {max(v, 1)}").alias("key")).agg(F.sum(F.col("n") - DISCOUNT).alias("mass"))
     masses = materialise(by_context, "context-masses")
