@@ -38,9 +38,9 @@ def decision_rank(decision: Column) -> Column:
     return F.coalesce(F.try_element_at(table, decision), F.lit(len(DECISION_ORDER)))
 
 
-def decisions(rows: DataFrame, decision: str, score: str, key: str, n: int) -> DataFrame:
-    """The first n by decision, then score (a missing one counts as 0) from high to low, then key."""
-    return rows.withColumn("rank", decision_rank(F.col(decision))).orderBy("rank", F.desc(F.coalesce(score, F.lit(0.0))), key).limit(n)
+def decisions(rows: DataFrame, decision: str, score: str, key: str) -> DataFrame:
+    """All rows by decision, then score (a missing one counts as 0) from high to low, then key."""
+    return rows.withColumn("rank", decision_rank(F.col(decision))).orderBy("rank", F.desc(F.coalesce(score, F.lit(0.0))), key)
 
 
 def completeness(df: DataFrame, keys: list[str], fields: list[str]) -> DataFrame:

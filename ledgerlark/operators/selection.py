@@ -68,5 +68,10 @@ def source_metrics(rows: DataFrame, key: str, type_: str, local: Column) -> Data
 
 
 def by_tier(rows: DataFrame, tier: str, done: Column, what: list[str]) -> DataFrame:
-    """The open candidates of each tier, in order, as one list (for reports of bounded size)."""
-    return rows.where(~done).groupBy(tier).agg(F.array_sort(F.collect_list(F.struct(*what))).alias("candidates"), F.count(F.lit(1)).alias("n"))
+    """The open candidates by tier and in order, one row each."""
+    return rows.where(~done).select(tier, *what).orderBy(tier, *what)
+
+
+def tier_counts(rows: DataFrame, tier: str, done: Column) -> DataFrame:
+    """Open candidates of each tier."""
+    return rows.where(~done).groupBy(tier).agg(F.count(F.lit(1)).alias("n"))

@@ -24,9 +24,9 @@ def score_bin(score: Column) -> Column:
     return F.greatest(F.lit(0), F.least(F.lit(100), F.bround(score, 0).cast("int")))
 
 
-def nearest_rank(df: DataFrame, keys: list[str], bin_: str, quantiles: dict[str, float]) -> DataFrame:
+def nearest_rank(df: DataFrame, keys: list[str], bin_: str, quantiles: dict[str, float], count: Column | None = None) -> DataFrame:
     """A3: nearest-rank percentiles of an integer bin from a histogram, so that no group is gathered or sorted whole."""
-    hist = df.groupBy(*keys, bin_).agg(F.count(F.lit(1)).alias("__c"))
+    hist = df.groupBy(*keys, bin_).agg((F.count(F.lit(1)) if count is None else F.sum(count)).alias("__c"))
     w = W.partitionBy(*keys)
     up = hist.withColumn("__run", F.sum("__c").over(w.orderBy(bin_))).withColumn("__n", F.sum("__c").over(w))
     return up.groupBy(*keys).agg(*[F.min(F.when(F.col("__run") >= F.ceil(F.col("__n") * q), F.col(bin_))).alias(name) for name, q in quantiles.items()])
@@ -47,11 +47,29 @@ def top_rules(failed: DataFrame, keys: list[str], rule: str, seq: str, k: int =
     return counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).drop("__first")
 
 
+def rollup(votes: DataFrame, keys: list[str], failed: Column, quantiles: dict[str, float], min_n: int = 5, k: int = 5) -> tuple[DataFrame, DataFrame]:
+    """A2, A5: statistics and most frequent failed rules of each key, both from one small table by key, bin and rule.
+
+    Its exchange is planned once and reused, so the votes are read and shuffled once for all of them.
+    """
+    n = F.count(F.lit(1))
+    cube = votes.withColumn("bin", score_bin(F.col("score"))).groupBy(*keys, "bin", "rule").agg(
+        n.alias("n"), F.sum(micro(F.col("score"))).alias("total"), F.max("seen").alias("seen"), F.count_if(failed).alias("n_failed"), F.min(F.when(failed, F.col("seq"))).alias("first")
+    )
+    mean = rounded(F.sum("total") / F.sum("n") / 1000000, 2)
+    stats = cube.groupBy(*keys).agg(F.sum("n").alias("n"), mean.alias("mean_score"), F.max("seen").alias("last_seen"))
+    stats = stats.join(nearest_rank(cube, keys, "bin", quantiles, F.col("n")), keys).withColumn("enough", F.col("n") >= min_n)
+    rules = cube.where("n_failed > 0").groupBy(*keys, "rule").agg(F.sum("n_failed").alias("n"), F.min("first").alias("__first"))
+    rank = F.row_number().over(W.partitionBy(*keys).orderBy(F.desc("n"), "__first"))
+    return stats, rules.withColumn("rank", rank).where(F.col("rank") <= k).drop("__first")
+
+
 def fusion_pairs(votes: DataFrame) -> DataFrame:
     """Each per-model vote beside the fusion of its (case, step, group), else the latest of its (case, step)."""
-    fusion = votes.where("kind = 'fusion'")
-    exact = fusion.groupBy("case_id", "step", "vote_group").agg(F.max_by("score", "seq").alias("by_group"))
-    latest = fusion.groupBy("case_id", "step").agg(F.max_by("score", F.struct("seen", "seq")).alias("by_step"))
+    fusion = votes.where("kind = 'fusion'").groupBy("case_id", "step", "vote_group")
+    groups = fusion.agg(F.max_by("score", "seq").alias("by_group"), F.max(F.struct("seen", "seq", "score")).alias("last"))
+    exact = groups.select("case_id", "step", "vote_group", "by_group")
+    latest = groups.groupBy("case_id", "step").agg(F.max("last").alias("last")).select("case_id", "step", F.col("last.score").alias("by_step"))
     models = votes.where("kind <> 'fusion' AND backend IS NOT NULL")
     paired = models.join(exact, ["case_id", "step", "vote_group"], "left").join(latest, ["case_id", "step"], "left")
     return paired.withColumn("fused", F.coalesce("by_group", "by_step")).where("fused IS NOT NULL")

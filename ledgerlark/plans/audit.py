@@ -54,11 +54,11 @@ _DEC = "CASE o_orderkey % 5 WHEN 0 THEN 'INVERTIR' WHEN 1 THEN 'WATCHLIST' WHEN
 _RANK = "CASE o_orderkey % 5 WHEN 0 THEN 0 WHEN 1 THEN 1 WHEN 2 THEN 2 WHEN 3 THEN 3 ELSE 4 END"
 
 
-@query("decision_sort", f"SELECT o_orderkey, {_DEC} AS decision, {_RANK} AS rank, CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_totalprice END AS score FROM orders ORDER BY rank, coalesce(score, 0) DESC, o_orderkey LIMIT 50")
+@query("decision_sort", f"SELECT o_orderkey, {_DEC} AS decision, {_RANK} AS rank, CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_totalprice END AS score FROM orders ORDER BY rank, coalesce(score, 0) DESC, o_orderkey")
 def decision_sort(spark, sf):
     k = F.col("o_orderkey")
     d = F.when(k % 5 == 0, "INVERTIR").when(k % 5 == 1, "WATCHLIST").when(k % 5 == 2, "DESCARTAR").when(k % 5 == 3, "BLOQUEADO").otherwise("odd")
-    return A.decisions(read(spark, sf, "orders").select("o_orderkey", d.alias("decision"), F.when(k % 7 != 0, F.col("o_totalprice")).alias("score")), "decision", "score", "o_orderkey", 50)
+    return A.decisions(read(spark, sf, "orders").select("o_orderkey", d.alias("decision"), F.when(k % 7 != 0, F.col("o_totalprice")).alias("score")), "decision", "score", "o_orderkey")
 
 
 @query("completeness_sections", """SELECT o_orderpriority, count(*) AS n_rows, count(*) * 3 AS n_fields, count(*) FILTER (o_orderkey % 3 = 0) + count(*) FILTER (o_orderstatus = 'P') + count(*) FILTER (o_custkey % 4 = 0) AS n_null,
@@ -142,6 +142,6 @@ def directory_classes(spark, sf):
     return c.groupBy(A.directory_class(F.col("s"), F.col("n"), F.greatest(F.col("d") - 2, F.lit(0))).alias("kind")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("concrete_claims", "SELECT source, count(*) FILTER (length(substr(text, 1, 60)) > 20 AND regexp_matches(substr(text, 1, 60), '[0-9]')) AS n_concrete, count(*) AS n FROM documents GROUP BY source")
+@query("concrete_claims", "SELECT source, count(*) FILTER (length(text) > 20 AND regexp_matches(text, '[0-9]')) AS n_concrete, count(*) AS n FROM documents GROUP BY source")
 def concrete_claims(spark, sf):
-    return read(spark, sf, "documents").groupBy("source").agg(F.count_if(A.concrete(F.substring("text", 1, 60))).alias("n_concrete"), F.count(F.lit(1)).alias("n"))
+    return read(spark, sf, "documents").groupBy("source").agg(F.count_if(A.concrete(F.col("text"))).alias("n_concrete"), F.count(F.lit(1)).alias("n"))

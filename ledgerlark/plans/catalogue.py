@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import audit, documents, financials, joins, normalising, scenarios, selecting, streams, voting  # noqa: F401
+from . import audit, contracts, documents, filings, financials, joins, normalising, scenarios, selecting, sources, streams, voting  # noqa: F401
 from .registry import ORACLE_SQL, QUERIES
 
 __all__ = ["ORACLE_SQL", "QUERIES"]

@@ -131,13 +131,20 @@ _GATES = """g AS (SELECT company, unnest([
  {{'gate': 'TTM_SANITY', 'status': CASE WHEN ttm_ingresos IS NULL OR nullif(fy_ingresos, 0) IS NULL THEN 'SKIP' WHEN ttm_ingresos / fy_ingresos BETWEEN 0.5 AND 2.0 THEN 'PASS' ELSE 'WARNING' END, 'critical': false}},
  {{'gate': 'TTM_CONSECUTIVE', 'status': CASE WHEN ttm_ok THEN 'PASS' WHEN method = 'FY0_fallback' THEN 'WARNING' ELSE 'SKIP' END, 'critical': true}},
  {{'gate': 'RECENCY_SANITY', 'status': CASE WHEN 2001 - year(ttm_end) > 2 THEN 'WARNING' ELSE 'PASS' END, 'critical': false}},
- {{'gate': 'CASHFLOW_IDENTITY', 'status': CASE WHEN nullif(company % 3, 0) IS NULL OR fcf IS NULL THEN 'SKIP' ELSE 'PASS' END, 'critical': true}}], recursive := true)
- FROM (SELECT *, {g} AS gm, {o} AS om, {n} AS nm FROM m))""".format(g=_PCT("ingresos - cogs", "ingresos"), o=_PCT("ebit", "ingresos"), n=_PCT("net", "ingresos"))
+ {{'gate': 'CASHFLOW_IDENTITY', 'status': CASE WHEN nullif(company % 3, 0) IS NULL OR fcf IS NULL THEN 'SKIP' ELSE 'PASS' END, 'critical': true}},
+ {{'gate': 'UNIDADES_SANITY', 'status': CASE WHEN jumps > 0 THEN 'FAIL' ELSE 'PASS' END, 'critical': false}},
+ {{'gate': 'CORE_FILING_COVERAGE', 'status': CASE WHEN company % 4 = 3 THEN 'WARNING' ELSE 'PASS' END, 'critical': false}},
+ {{'gate': 'DATA_COMPLETENESS', 'status': CASE WHEN filled / 4 >= 0.5 THEN 'PASS' ELSE 'WARNING' END, 'critical': false}}], recursive := true)
+ FROM (SELECT *, {g} AS gm, {o} AS om, {n} AS nm, CASE WHEN cap IS NULL THEN 0 ELSE 1 END + CASE WHEN fcf IS NULL THEN 0 ELSE 1 END + CASE WHEN cash IS NULL THEN 0 ELSE 1 END + CASE WHEN ttm_ingresos IS NULL THEN 0 ELSE 1 END AS filled,
+  coalesce((SELECT count(*) FILTER (prev <> 0 AND (abs(ingresos / prev) > 1.15 OR abs(ingresos / prev) < 1 / 1.15::DOUBLE)) FROM (SELECT company AS k, ingresos, lag(ingresos) OVER (PARTITION BY company ORDER BY fin) AS prev FROM periods) WHERE k = m.company), 0) AS jumps FROM m))""".format(g=_PCT("ingresos - cogs", "ingresos"), o=_PCT("ebit", "ingresos"), n=_PCT("net", "ingresos"))
 
 
 def gates(spark, sf):
     c = F.col
-    m = measured(spark, sf)
+    jumps = order_jumps(periods(spark, sf), ["company"], "fin", "ingresos", 1.15, keep=10**9).groupBy("company").agg(F.count(F.lit(1)).alias("jumps"))
+    m = measured(spark, sf).join(jumps, "company", "left")
+    provenance = F.array(F.lit("press release"), F.get(F.array(*[F.lit(x) for x in ("10-K 2024", "form 20-F", "ANNUAL_REPORT", "8-K")]), (c("company") % 4).cast("int")))
+    known = sum((c(x).isNotNull().cast("int") for x in ("cap", "fcf", "cash", "ttm_ingresos")), F.lit(0))
     values = {k.removesuffix("_margin"): v for k, v in D.margins(c("ingresos"), F.lit(None).cast("double"), c("cogs"), c("ebit"), c("net"), c("fcf")).items() if k != "fcf_margin"}
     bounds = G.margin_bounds(F.lit("none"), F.lit("Industrials"))
     delta = F.when(c("company") % 3 != 0, c("fcf"))
@@ -146,6 +153,7 @@ def gates(spark, sf):
         "BALANCE_IDENTITY": G.balance_identity(c("assets") + c("company") * 100000, c("debt"), c("equity")), "EV_SANITY": G.ev_sanity(c("ev")), "MARGIN_SANITY": G.margin_sanity(values, bounds),
         "TTM_SANITY": G.ttm_sanity(c("ttm_ingresos"), c("fy_ingresos")), "TTM_CONSECUTIVE": G.ttm_consecutive(c("ttm_ok"), c("method")), "RECENCY_SANITY": G.recency(F.year("ttm_end"), 2001),
         "CASHFLOW_IDENTITY": G.cashflow_identity(c("fcf"), zero, zero, delta, none, none),
+        "UNIDADES_SANITY": G.unit_sanity(F.coalesce("jumps", F.lit(0))), "CORE_FILING_COVERAGE": G.core_coverage(provenance), "DATA_COMPLETENESS": G.completeness(known, F.lit(4)),
     })
 
 
@@ -193,14 +201,14 @@ _POW = lambda x, n: "(" + " * ".join([x] * n) + ")"
 _VALUE = "(0.0::DOUBLE" + "".join(f" + fcf * {_POW(f'(1 + {_G})', t)} / {_POW('(1 + rate)', t)}" for t in range(1, 6)) + f") + fcf * {_POW(f'(1 + {_G})', 5)} * multiple / {_POW('(1 + rate)', 5)}"
 
 
-@query("scenario_grid", f"""WITH RECURSIVE base AS (SELECT c_custkey, c_acctbal * 12 AS ev, c_acctbal * (1 + c_custkey % 3) / 3 AS fcf, rate, multiple FROM customer, ({_GRID}) WHERE c_custkey % 10 = 1),
+@query("scenario_grid", f"""WITH RECURSIVE base AS (SELECT c_custkey, c_acctbal * 12 AS ev, c_acctbal * (1 + c_custkey % 3) / 3 AS fcf, rate, multiple FROM customer, ({_GRID})),
  s AS (SELECT *, 0 AS i, -0.5::DOUBLE AS low, 2.0::DOUBLE AS high, NULL::DOUBLE AS found FROM base WHERE ev > 0 AND fcf > 0
  UNION ALL SELECT c_custkey, ev, fcf, rate, multiple, i + 1, CASE WHEN v < ev THEN g ELSE low END, CASE WHEN v < ev THEN high ELSE g END, CASE WHEN abs(v - ev) < ev * 0.0001::DOUBLE THEN g END
   FROM (SELECT *, {_G} AS g, {_VALUE} AS v FROM s WHERE i < 100 AND found IS NULL))
 SELECT b.c_custkey, b.rate, b.multiple, {_R('coalesce(found, (low + high) / 2)', 4)} AS growth FROM base b LEFT JOIN (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY c_custkey, rate, multiple ORDER BY i DESC) = 1) l ON l.c_custkey = b.c_custkey AND l.rate = b.rate AND l.multiple = b.multiple""")
 def scenario_grid(spark, sf):
     b, k = F.col("c_acctbal"), F.col("c_custkey")
-    rows = read(spark, sf, "customer").where(k % 10 == 1).select("c_custkey", (b * 12).alias("ev"), (b * (1 + k % 3) / 3).alias("fcf"))
+    rows = read(spark, sf, "customer").select("c_custkey", (b * 12).alias("ev"), (b * (1 + k % 3) / 3).alias("fcf"))
     g = D.scenario_grid(rows)
     return g.select("c_custkey", "rate", "multiple", D.implied_growth(F.col("ev"), F.col("fcf"), F.col("rate"), F.col("multiple")).alias("growth"))
 

@@ -62,7 +62,13 @@ def source_metrics(spark, sf):
 @query("tier_counts", "SELECT p_size % 3 AS tier, count(*) AS n FROM part WHERE p_partkey % 5 <> 0 GROUP BY 1")
 def tier_counts(spark, sf):
     p = read(spark, sf, "part").select((F.col("p_size") % 3).alias("tier"), "p_partkey")
-    return S.by_tier(p, "tier", F.col("p_partkey") % 5 == 0, ["p_partkey"]).select("tier", "n")
+    return S.tier_counts(p, "tier", F.col("p_partkey") % 5 == 0)
+
+
+@query("tier_candidates", "SELECT p_size % 3 AS tier, p_partkey FROM part WHERE p_partkey % 5 <> 0")
+def tier_candidates(spark, sf):
+    p = read(spark, sf, "part").select((F.col("p_size") % 3).alias("tier"), "p_partkey")
+    return S.by_tier(p, "tier", F.col("p_partkey") % 5 == 0, ["p_partkey"])
 
 
 _DOCS = [

@@ -2,24 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
 from ..functions.numbers import micro
+from ..sources.shared import shared_folder
 from ..streaming import votes as V
 from .registry import query, read
 
 
-def _folder(spark) -> str:
-    top = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="ledgerlark-")
-    return f"{top}/ledgerlark/stream-{uuid.uuid4().hex}"
-
-
 def _log(spark, sf):
     """The events in four files by time, as a stream, and a folder for its output."""
-    top = _folder(spark)
+    top = shared_folder(spark, "stream")
     e = read(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     e.repartitionByRange(4, "ts").write.parquet(f"{top}/log")
     return V.read_log(spark, f"{top}/log", e.schema), top

@@ -55,8 +55,9 @@ LEFT JOIN (SELECT step, backend, string_agg(rule || ':' || n, ',' ORDER BY rank)
 def vote_rollup(spark, sf):
     v, keys = votes(spark, sf), ["step", "backend"]
     pairs = F.transform(F.sort_array(F.collect_list(F.struct("rank", "rule", "n"))), lambda x: F.concat_ws(":", x["rule"].cast("string"), x["n"].cast("string")))
-    top = V.top_rules(v.where("score < 50"), keys, "rule", "seq").groupBy(*keys).agg(F.array_join(pairs, ",").alias("top_rules"))
-    return V.vote_stats(v, keys).join(V.fusion_comparison(V.fusion_pairs(v), keys), keys, "left").join(top, keys, "left")
+    stats, rules = V.rollup(v, keys, F.col("score") < 50, {"p25": 0.25, "median": 0.5, "p75": 0.75})
+    top = rules.groupBy(*keys).agg(F.array_join(pairs, ",").alias("top_rules"))
+    return stats.join(V.fusion_comparison(V.fusion_pairs(v), keys), keys, "left").join(top, keys, "left")
 
 
 @query("vote_step_mean_median", f"SELECT event_type AS step, {_MEAN.format('value')} AS mean_value, median(value) AS median_value FROM events GROUP BY event_type")

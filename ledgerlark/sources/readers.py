@@ -75,10 +75,19 @@ def files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def whole_texts(spark: SparkSession, path: str) -> DataFrame:
-    """One row per text file."""
+    """One row per text file, whole."""
     return spark.read.option("wholetext", True).text(path).select(F.input_file_name().alias("file"), F.col("value").alias("text"))
 
 
+def repo_state(spark: SparkSession, path: str) -> DataFrame:
+    """The one-row state of the repository; an empty one of the first version where none is kept."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    schema = "version STRING, casos ARRAY<STRING>"
+    if where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+        return spark.read.schema(schema).json(path)
+    return spark.createDataFrame([("estado_repo_v1", [])], schema)
+
+
 def submissions(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """Parallel arrays to records; incomplete ones go."""
     z = F.explode(F.arrays_zip(*[F.col(c) for c in columns]))

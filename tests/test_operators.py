@@ -137,3 +137,25 @@ def test_readers_and_sinks(spark, tmp_path):
     a, b = (spark.createDataFrame([(1, v, "s")], "k int, v int, w string") for v in (1, 2))
     assert [tuple(r) for r in sinks.changes(a, b, ["k"], ["v", "w"]).collect()] == [(1, "v", "1", "2")]
     assert sinks.markdown_table(a, ["k"]).first().markdown.endswith("| 1 | 1 | s |")
+
+
+def test_dedup_upgrade_equals_the_fold(spark):
+    """Chains of shared urls and accessions, against the rule row by row."""
+    rng = random.Random(11)
+    rows = [(rng.choice("gh"), i, rng.choice(["", "u1", "U2", "u3", f"x{i}", f"y{i // 2}"]), rng.choice(["", "a1", "A2", f"b{i // 3}", None]), rng.randint(1, 40), rng.choice(["", "p", f"q{i}"])) for i in range(300)]
+    want = []
+    for g in "gh":
+        seen, kept = {}, []
+        for _, i, url, acc, size, path in [r for r in rows if r[0] == g]:
+            marks = [x.strip().lower() for x in (url, acc or "") if x.strip()]
+            own = next((seen[m] for m in marks if m in seen), None)
+            if own is None:
+                for m in marks:
+                    seen[m] = len(kept)
+                kept.append([i, size, path])
+            elif path and path != kept[own][2] and size > 2 * kept[own][1]:
+                kept[own][1:] = [size, path]
+        want += [(g, *k) for k in kept]
+    df = spark.createDataFrame(rows, "g string, seq int, url string, acc string, size long, path string")
+    got = [(r.g, r.seq, r["size"], r.path) for r in M.dedup_upgrade(df, "g", "seq", ("url", "acc"), "size", "path").collect()]
+    assert sorted(got) == sorted(want)
