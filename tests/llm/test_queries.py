@@ -6,6 +6,7 @@ import re
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 
 SF = "/root/testdata/sf0.001"
@@ -26,7 +27,7 @@ def test_against_sql(spark, duck, name):
     got, want = QUERIES[name](spark, SF).toPandas(), duck.execute(ORACLE_SQL[name]).df()
     cols = sorted(got.columns)
     assert cols == sorted(want.columns)
-    key = lambda df: sorted(tuple("-" if v is None or v != v else str(v) for v in r) for r in df[cols].itertuples(index=False))
+    key = lambda df: sorted(tuple("-" if pd.isna(v) else str(v) for v in r) for r in df[cols].itertuples(index=False))
     assert key(got) == key(want)
 
 
