@@ -198,7 +198,7 @@ def source_dedup_first(spark, sf):
 
 @query("source_dedup_upgrade")
 def source_dedup_upgrade(spark, sf):
-    d = read(spark, sf, "documents").select("source", F.col("doc_id").alias("seq"), F.concat(F.lit("HTTP://x/"), F.md5(F.col("text").cast("binary"))).alias("url"), F.expr("doc_id div 3").cast("string").alias("accession"), F.col("n_chars").alias("size"), F.concat(F.lit("p"), "doc_id").alias("path"))
+    d = read(spark, sf, "documents").select("source", F.col("doc_id").alias("seq"), F.concat(F.lit("HTTP://x/"), F.md5(F.col("text").cast("binary"))).alias("url"), F.expr("(doc_id + 1) div 3").cast("string").alias("accession"), F.col("n_chars").alias("size"), F.concat(F.lit("p"), "doc_id").alias("path"))
     return M.dedup_upgrade(d, "source", "seq", ("url", "accession"), "size", "path")
 
 
