@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -90,30 +92,48 @@ def implied_growth(ev: Column, fcf: Column, rate: Column, multiple: Column, year
     """Growth at which discounted cash flows and a terminal multiple add up to ev.
 
     Bisection on [-0.5, 2], which stops at a relative error below tolerance; null for inputs that are not positive.
+    A Python function over Arrow batches: each round is a few vector steps over the rows that are still open.
     """
-    def value(g):
-        flows = [fcf * _power(1 + g, t) / _power(1 + rate, t) for t in range(1, years + 1)]
-        total = F.lit(0.0)
-        for x in flows:
-            total = total + x
-        return total + fcf * _power(1 + g, years) * multiple / _power(1 + rate, years)
-
-    def step(s, _):
-        g = (s["low"] + s["high"]) / 2
-        v = value(g)
-        hit = F.abs(v - ev) < ev * tolerance
-        go = F.struct(F.when(v < ev, g).otherwise(s["low"]).alias("low"), F.when(v < ev, s["high"]).otherwise(g).alias("high"), F.when(hit, g).alias("found"))
-        return F.when(s["found"].isNotNull(), s).otherwise(go)
-
-    start = F.struct(F.lit(-0.5).alias("low"), F.lit(2.0).alias("high"), F.lit(None).cast("double").alias("found"))
-    done = F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), start, step, lambda s: F.coalesce(s["found"], (s["low"] + s["high"]) / 2))
+    def run(*cols: pd.Series) -> pd.Series:
+        return pd.Series(_bisect(*(c.to_numpy(float) for c in cols), years, rounds, tolerance))
+
+    done = F.pandas_udf(run, "double")(*[c.cast("double") for c in (ev, fcf, rate, multiple)])
     return F.when((ev > 0) & (fcf > 0) & (rate > 0) & (multiple > 0), rounded(done, 4))
 
 
-def _power(x: Column, n: int) -> Column:
-    out = x
-    for _ in range(n - 1):
-        out = out * x
+def _bisect(ev: np.ndarray, fcf: np.ndarray, rate: np.ndarray, multiple: np.ndarray, years: int, rounds: int, tolerance: float) -> np.ndarray:
+    """implied_growth before rounding, by the IEEE steps of its SQL; NaN is the largest number, as there, and fills rows that are not positive."""
+    out = np.full(len(ev), np.nan)
+    at = np.flatnonzero(~((ev <= 0) | (fcf <= 0) | (rate <= 0) | (multiple <= 0)))
+    ev, fcf, multiple, over = ev[at], fcf[at], multiple[at], _powers(1 + rate[at], years)
+    low, high = np.full(len(at), -0.5), np.full(len(at), 2.0)
+    with np.errstate(all="ignore"):
+        for _ in range(rounds):
+            g = (low + high) / 2
+            value = np.zeros(len(at))
+            for p, q in zip(_powers(1 + g, years), over):
+                flow = fcf * p
+                value += flow / q
+            value += flow * multiple / q
+            less = (value < ev) | (np.isnan(ev) & ~np.isnan(value))
+            low, high = np.where(less, g, low), np.where(less, high, g)
+            hit = np.abs(value - ev) < ev * tolerance
+            if hit.any():
+                out[at[hit]] = g[hit]
+                left = np.flatnonzero(~hit)
+                at, ev, fcf, multiple, low, high, over = (*(x[left] for x in (at, ev, fcf, multiple, low, high)), over[:, left])
+            if not len(at):
+                break
+        out[at] = (low + high) / 2
+    return out
+
+
+def _powers(x: np.ndarray, n: int) -> np.ndarray:
+    """Rows x, x * x, ..., each the one before times x."""
+    out = np.empty((n, len(x)))
+    out[0] = x
+    for i in range(1, n):
+        np.multiply(out[i - 1], x, out=out[i])
     return out
 
 
