@@ -41,7 +41,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 4: doc_id, n_tokens, ids (little-endian 32-bit integers), and the decoded text's SHA-256."""
-    back = bpe.decode(bpe.encode(docs, ids_as_list=False))
+    back = bpe.encode_decode(docs)
     n = (F.octet_length("ids") / 4).cast("bigint")
     return back.select("doc_id", n.alias("n_tokens"), "ids", F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
 

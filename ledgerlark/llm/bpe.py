@@ -19,8 +19,9 @@ UTF-8 after decoding become U+FFFD, as the library does.
 from __future__ import annotations
 
 import json
+import os
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -38,6 +39,8 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 _WORD = regex.compile(PATTERN)
 NARROW = 0x250
 SEEDS = (0, 1)
+#: Bytes of text, or of ids, that a worker has in arrays at once.
+SLICE = 1 << 20
 
 
 def _narrow_pattern() -> re.Pattern:
@@ -150,6 +153,7 @@ def word_table(words: DataFrame, path: str) -> SharedTable:
     """Every distinct word encoded once; arrays key, key2, at (offsets into ids), ids."""
 
     def encode(t: pa.Table) -> tuple[dict[str, np.ndarray], dict]:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; the library's threads would keep their memory
         from tokenizers import Tokenizer
 
         tok = Tokenizer.from_file(path)
@@ -201,39 +205,52 @@ def gather(values: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarra
     return values[np.repeat(shift, size) + np.arange(int(size.sum()))]
 
 
-def encode(docs: DataFrame, path: str | None = None, ids_as_list: bool = True) -> DataFrame:
-    """(doc_id, ids): token ids of every row, as a list, or as little-endian 32-bit integers."""
-    path = path or tokenizer_path()
-    added = added_tokens(path)
+def _words_for(docs: DataFrame, path: str) -> SharedTable:
     scratch = Scratch(docs.sparkSession)
-    told = scratch.keep(distinct_words(docs, added), "words")
+    told = scratch.keep(distinct_words(docs, added_tokens(path)), "words")
     words = word_table(told, path)
     scratch.free(told)
-    sent = docs.sparkSession.sparkContext.broadcast(words)
+    return words
+
+
+def _encoder(docs: DataFrame, path: str, ids_as_list: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Batches of (doc_id, text) to (doc_id, ids)."""
+    added = added_tokens(path)
+    sent = docs.sparkSession.sparkContext.broadcast(_words_for(docs, path))
+
+    def ids_of(text: pa.Array) -> pa.Array:
+        data, offsets = buffers(text)
+        start, end, ptr = split_words(data, offsets, added)
+        keys, keys2 = (span_hashes(data, start, end, seed) for seed in SEEDS)
+        code, uniq = pd.factorize(keys ^ mix(keys2))
+        first = np.zeros(len(uniq), np.int64)
+        first[code[::-1]] = np.arange(len(code))[::-1]
+        flat, (where, size) = lookup(sent.value, keys[first].view(np.int64), keys2[first].view(np.int64))
+        n = size[code] if len(code) else np.zeros(0, np.int64)
+        ids = gather(flat, where[code] if len(code) else n, n).astype("<u4")
+        at = np.concatenate([[0], np.cumsum(n)])[ptr]
+        if ids_as_list:
+            return pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids.astype(np.int32)))
+        raw = ids.tobytes()
+        return pa.array([raw[4 * a : 4 * b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())], pa.binary())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text", 2 << 20):
-                data, offsets = buffers(part.column("text"))
-                start, end, ptr = split_words(data, offsets, added)
-                keys, keys2 = (span_hashes(data, start, end, seed) for seed in SEEDS)
-                code, uniq = pd.factorize(keys ^ mix(keys2))
-                first = np.zeros(len(uniq), np.int64)
-                first[code[::-1]] = np.arange(len(code))[::-1]
-                flat, (where, size) = lookup(sent.value, keys[first].view(np.int64), keys2[first].view(np.int64))
-                n = size[code] if len(code) else np.zeros(0, np.int64)
-                ids = gather(flat, where[code] if len(code) else n, n).astype("<u4")
-                at = np.concatenate([[0], np.cumsum(n)])[ptr]
-                if ids_as_list:
-                    col = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids.astype(np.int32)))
-                else:
-                    raw = ids.tobytes()
-                    col = pa.array([raw[4 * a : 4 * b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())], pa.binary())
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), col], names=["doc_id", "ids"])
+            for part in slices(batch, "text", SLICE):
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), ids_of(part.column("text"))], names=["doc_id", "ids"])
+
+    return run
+
 
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", F.col("text").cast("string").alias("text"))
+
+
+def encode(docs: DataFrame, path: str | None = None, ids_as_list: bool = True) -> DataFrame:
+    """(doc_id, ids): token ids of every row, as a list, or as little-endian 32-bit integers."""
+    run = _encoder(docs, path or tokenizer_path(), ids_as_list)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    cols = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    return cols.mapInArrow(tidy(run), f"doc_id {kind}, ids {'array<int>' if ids_as_list else 'binary'}")
+    return _texts(docs).mapInArrow(tidy(run), f"doc_id {kind}, ids {'array<int>' if ids_as_list else 'binary'}")
 
 
 def decode_bytes(ids: np.ndarray, table_: tuple[np.ndarray, np.ndarray]) -> bytes:
@@ -241,26 +258,39 @@ def decode_bytes(ids: np.ndarray, table_: tuple[np.ndarray, np.ndarray]) -> byte
     return gather(data, at[ids], at[ids + 1] - at[ids]).tobytes()
 
 
-def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
-    """(doc_id, ids, text): ids (binary) joined to their pieces, special tokens included."""
-    path = path or tokenizer_path()
-    sent = encoded.sparkSession.sparkContext.broadcast(pieces(path))
+def _decoder(spark: SparkSession, path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Batches of (doc_id, ids) to (doc_id, ids, text)."""
+    sent = spark.sparkContext.broadcast(pieces(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "ids", 2 << 20):
+            for part in slices(batch, "ids", SLICE):
                 texts = [decode_bytes(np.frombuffer(x or b"", "<u4").astype(np.int64), sent.value).decode("utf-8", "replace") for x in part.column("ids").to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("ids"), pa.array(texts, pa.string())], names=["doc_id", "ids", "text"])
 
+    return run
+
+
+def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
+    """(doc_id, ids, text): ids (binary) joined to their pieces, special tokens included."""
+    run = _decoder(encoded.sparkSession, path or tokenizer_path())
     kind = encoded.schema["doc_id"].dataType.simpleString()
     return encoded.select("doc_id", "ids").mapInArrow(tidy(run), f"doc_id {kind}, ids binary, text string")
 
 
+def encode_decode(docs: DataFrame, path: str | None = None) -> DataFrame:
+    """decode(encode(docs)), in one Python worker a task instead of two side by side; decoding sees the ids only."""
+    path = path or tokenizer_path()
+    ids, texts = _encoder(docs, path, False), _decoder(docs.sparkSession, path)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return _texts(docs).mapInArrow(tidy(lambda batches: texts(ids(batches))), f"doc_id {kind}, ids binary, text string")
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(table(spark, sf_dir, "documents"))
 
 
 def digest(docs: DataFrame, path: str | None = None) -> DataFrame:
-    back = decode(encode(docs, path, ids_as_list=False), path)
+    back = encode_decode(docs, path)
     n = (F.octet_length("ids") / 4).cast("bigint")
     return back.select("doc_id", n.alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
